@@ -1,0 +1,23 @@
+"""Size checks that guard every broadcast this package asks for itself.
+
+Joins carry no hint in general: Spark broadcasts a side whose file or run-time
+size is under its threshold and otherwise sort-merge joins with skew splitting.
+A hint is only added where a side is known to be no longer than a table whose
+length is checked here.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+MAX_SMALL_ROWS = 10_000
+
+
+def is_small(df: DataFrame, rows: int = MAX_SMALL_ROWS) -> bool:
+    """Whether a table has at most ``rows`` rows; reads no more than that."""
+    return df.select(F.lit(1)).limit(rows + 1).count() <= rows
+
+
+def broadcast_if(df: DataFrame, proven_small: bool) -> DataFrame:
+    return F.broadcast(df) if proven_small else df
