@@ -46,6 +46,17 @@ def per_city(sales: DataFrame, directory: DataFrame, small: bool | None = None)
     return sales.select("*", slots.alias("_slot")).join(slotted, "_slot").drop("_slot")
 
 
+def spread(sales: DataFrame) -> DataFrame:
+    """Even out the log over all tasks before each row becomes many.
+
+    The log is a fraction of what the fan-out writes, so moving it is cheap next
+    to tasks that multiply uneven splits. Rows are dealt out in turn: identical
+    sales cannot pile up as they would under a hash of their content.
+    """
+    tasks = int(sales.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return sales.repartition(tasks)
+
+
 def source_sale_id() -> Column:
     """Content hash of a sale: the same in all cities, and for identical sales."""
     return keys.sha256_id(*[F.col(c) for c in ("date", "time", "product_name", "amount_money", "payment_type")])
@@ -68,7 +79,7 @@ def fan_out_sales(sales: DataFrame, cities: DataFrame, profiles: DataFrame) -> D
             "sold_local_at": clock.wall_clock(F.col("date"), F.col("time")),
         }
     )
-    expanded = per_city(base, city_directory(cities, profiles))
+    expanded = per_city(spread(base), city_directory(cities, profiles))
     receipts = expanded.withColumns(
         {
             "synthetic_sale_id": keys.sha256_id(F.col("source_sale_id"), F.col("city_slug")),

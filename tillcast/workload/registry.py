@@ -88,14 +88,14 @@ def receipts_distinct(i: Inputs) -> DataFrame:
 @query
 def share_of_day(i: Inputs) -> DataFrame:
     sold = marts.items_with_sales(i.fct_items, i.receipts)
-    return marts.with_day_share(marts.product_days(sold)).select(
+    return marts.with_day_share(marts.product_days(sold), i.products).select(
         "city_key", "date_key", "product_key", "product_revenue_rub", "revenue_share_pct"
     )
 
 
 @query
 def sales_period_range_join(i: Inputs) -> DataFrame:
-    period = marts.sales_period(marts.sales_hours(i.fct_sales))
+    period = marts.sales_period(i.fct_sales)
     grid = marts.within_period(i.fct_weather, period, i.cities)
     return grid.select("city_key", "date_key", "hour", "measured_at", "temperature_c")
 
