@@ -35,66 +35,78 @@ def fan_out(sales_log: DataFrame, cities: DataFrame, profiles: DataFrame, root:
     return spark.table("raw.synthetic_coffee_sales")
 
 
-def build(raw: dict[str, DataFrame], root: str, run_id: str, today: date) -> dict[str, DataFrame]:
-    """All models, staging lazily, core and marts materialised layer by layer."""
-    spark = next(iter(raw.values())).sparkSession
+def build_core(raw: dict[str, DataFrame], root: str, run_id: str, today: date) -> dict[str, DataFrame]:
+    """Staging models as views and core models as tables."""
     staged = {
-        "stg_cities": staging.stg_cities(raw["cities"]),
-        "stg_sales_log": staging.stg_sales_log(raw["kaggle_coffee"]),
-        "stg_synthetic_sales": staging.stg_synthetic_sales(raw["synthetic_coffee_sales"]),
-        "stg_weather_hourly": staging.stg_weather_hourly(raw["weather_archive"]),
-        "stg_weather_forecast": staging.stg_weather_forecast(raw["weather_forecast"]),
+        "cities": staging.stg_cities(raw["cities"]),
+        "sales_log": staging.stg_sales_log(raw["kaggle_coffee"]),
+        "synthetic_sales": staging.stg_synthetic_sales(raw["synthetic_coffee_sales"]),
+        "weather_hourly": staging.stg_weather_hourly(raw["weather_archive"]),
+        "weather_forecast": staging.stg_weather_forecast(raw["weather_forecast"]),
     }
     for name, df in staged.items():
-        tables.as_view(df, "stg", name.removeprefix("stg_"))
-    sales = staged["stg_synthetic_sales"]
-    models: dict[str, DataFrame] = {}
-
-    def keep(layer: str, name: str, df: DataFrame) -> DataFrame:
-        models[name] = tables.replace_table(df, root, layer, name, run_id)
-        return models[name]
-
-    cities = keep("core", "core_dim_city", core.dim_city(staged["stg_cities"], sales))
-    dates = keep("core", "core_dim_date", core.dim_date(spark, today))
-    products = keep("core", "core_dim_product", core.dim_product(sales))
-    receipts = keep("core", "core_fct_sales", core.fct_sales(sales, cities, dates))
-    items = keep("core", "core_fct_sales_item", core.fct_sales_item(sales, products))
-    weather = keep(
-        "core", "core_fct_weather_hour",
-        core.fct_weather_hour(staged["stg_weather_hourly"], cities, dates),
-    )
-    keep(
-        "core", "core_fct_weather_forecast_hour",
-        core.fct_weather_forecast_hour(staged["stg_weather_forecast"], cities, dates),
-    )
-    keep(
-        "marts", "mart_product_sales_daily",
-        marts.mart_product_sales_daily(items, receipts, cities, products, dates),
-    )
-    keep("marts", "mart_sales_weather_daily", marts.mart_sales_weather_daily(receipts, weather, cities, dates))
-    keep("marts", "mart_sales_weather_hourly", marts.mart_sales_weather_hourly(receipts, weather, cities, dates))
-    return models
-
-
-def verify(models: dict[str, DataFrame]) -> None:
-    """Run every check; raises before anything is published."""
-    for layer, cross in (("core_", checks.core_checks), ("mart_", checks.mart_checks)):
-        wanted: dict[str, DataFrame] = {}
-        for name in checks.DECLARED:
-            if name.startswith(layer):
-                wanted.update(checks.declared_checks(models, name))
-        quality.gate({**wanted, **cross(models)})
+        tables.as_view(df, "stg", name)
+    keep = Keeper("core", root, run_id)
+    sales = staged["synthetic_sales"]
+    cities = keep("core_dim_city", core.dim_city(staged["cities"], sales))
+    dates = keep("core_dim_date", core.dim_date(sales.sparkSession, today))
+    products = keep("core_dim_product", core.dim_product(sales))
+    keep("core_fct_sales", core.fct_sales(sales, cities, dates))
+    keep("core_fct_sales_item", core.fct_sales_item(sales, products))
+    keep("core_fct_weather_hour", core.fct_weather_hour(staged["weather_hourly"], cities, dates))
+    forecast = core.fct_weather_forecast_hour(staged["weather_forecast"], cities, dates)
+    keep("core_fct_weather_forecast_hour", forecast)
+    return keep.models
+
+
+def build_marts(models: dict[str, DataFrame], root: str, run_id: str) -> dict[str, DataFrame]:
+    """Mart models as tables, from the core tables."""
+    keep = Keeper("marts", root, run_id)
+    cities, dates, products = (models[f"core_dim_{name}"] for name in ("city", "date", "product"))
+    sales, items, weather = (models[f"core_fct_{name}"] for name in ("sales", "sales_item", "weather_hour"))
+    keep("mart_product_sales_daily", marts.mart_product_sales_daily(items, sales, cities, products, dates))
+    keep("mart_sales_weather_daily", marts.mart_sales_weather_daily(sales, weather, cities, dates))
+    keep("mart_sales_weather_hourly", marts.mart_sales_weather_hourly(sales, weather, cities, dates))
+    return keep.models
+
+
+class Keeper:
+    """Writes models of a layer as tables and remembers them."""
+
+    def __init__(self, layer: str, root: str, run_id: str):
+        self.layer, self.root, self.run_id = layer, root, run_id
+        self.models: dict[str, DataFrame] = {}
+
+    def __call__(self, name: str, df: DataFrame) -> DataFrame:
+        self.models[name] = tables.replace_table(df, self.root, self.layer, name, self.run_id)
+        return self.models[name]
+
+
+def verify(models: dict[str, DataFrame], layer: str, cross: dict[str, DataFrame]) -> None:
+    """Run the declared checks of a layer and its cross-model checks; raise if any fails."""
+    wanted: dict[str, DataFrame] = {}
+    for name in checks.DECLARED:
+        if name.startswith(layer):
+            wanted.update(checks.declared_checks(models, name))
+    quality.gate({**wanted, **cross})
 
 
 def refresh(raw: dict[str, DataFrame], root: str, run_id: str, today: date) -> list[dict[str, str]]:
-    """Build, verify, publish. A failed check leaves the published marts as they were."""
+    """Build, verify, publish.
+
+    The core layer is verified before the marts are built: repeated receipt keys
+    would multiply in their joins. A failed check leaves the published marts as
+    they were.
+    """
     specs = load_marts()
-    models = build(raw, root, run_id, today)
     spark = next(iter(raw.values())).sparkSession
+    models = build_core(raw, root, run_id, today)
+    verify(models, "core_", checks.core_checks(models))
+    models |= build_marts(models, root, run_id)
     unbuilt = tables.missing_tables(spark, "marts", list(specs))
     if unbuilt:
         raise RuntimeError(f"configured marts were not built: {unbuilt}")
-    verify(models)
+    verify(models, "mart_", checks.mart_checks(models))
     return [publish_mart(models[name], spec, root, run_id) for name, spec in specs.items()]
 
 

@@ -428,7 +428,7 @@ ORACLES = {
         full join (select city_key, date_key, sum(total_amount_rub) as r from receipts group by all) s
           using (city_key, date_key)
         where p.r is distinct from s.r""",
-    "dq_items_receipts": "select * from both_sides",
+    "dq_items_receipts": "select sale_key, count(*) as n_rows from both_sides group by all",
     "dq_sales_ranges": """
         select 'sale' as source, sale_key as row_key from receipts
         where total_amount_rub - 5000 < 0 or hour not between 0 and 23
