@@ -6,6 +6,8 @@ a column, so one expression serves every city.
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,6 +16,13 @@ def _utc() -> Column:
     return F.lit("UTC")
 
 
+def instant(moment: datetime) -> Column:
+    """Literal UTC instant; a moment without a zone is taken as UTC."""
+    if moment.tzinfo:
+        moment = moment.astimezone(timezone.utc).replace(tzinfo=None)
+    return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def time_text(value: Column) -> Column:
     """Canonical ``HH:mm:ss.SSS`` text of a time of day.
 
