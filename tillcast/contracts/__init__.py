@@ -41,40 +41,37 @@ class MartSpec:
 
 
 def read_schema(folder: Path, file_name: str) -> StructType:
+    """Columns of a mart; their names are safe and all different."""
     if Path(file_name).name != file_name or not file_name.endswith(".ddl"):
         raise ValueError(f"not a schema file name: {file_name!r}")
     path = folder / file_name
     if not path.is_file():
         raise ValueError(f"schema file is missing: {file_name}")
-    return StructType.fromDDL(path.read_text())
+    schema = StructType.fromDDL(path.read_text())
+    names = [identifier(name) for name in schema.names]
+    if len(set(names)) < len(names):
+        raise ValueError(f"{file_name} lists a column twice")
+    return schema
 
 
 def parse_spec(entry: dict, folder: Path) -> MartSpec:
     for key in ("model", "layer", "table"):
         identifier(entry[key])
-    named = {key: [identifier(c) for c in entry[key]] for key in ("columns", "unique_key", "sum_columns", "sort_key", "unsigned")}
-    columns = named.pop("columns")
-    if len(set(columns)) < len(columns):
-        raise ValueError(f"{entry['model']} lists a column twice")
-    if not named["unique_key"]:
+    schema = read_schema(folder, entry["schema_file"])
+    lists = {key: tuple(entry[key]) for key in ("unique_key", "sum_columns", "sort_key", "unsigned")}
+    if not lists["unique_key"]:
         raise ValueError(f"{entry['model']} has no unique key")
-    for key, names in named.items():
-        unknown = set(names) - set(columns)
+    for key, names in lists.items():
+        unknown = set(names) - set(schema.names)
         if unknown:
             raise ValueError(f"{key} of {entry['model']} names unknown columns: {sorted(unknown)}")
-    schema = read_schema(folder, entry["schema_file"])
-    if schema.names != columns:
-        raise ValueError(f"{entry['schema_file']} and the columns of {entry['model']} differ")
-    return MartSpec(
-        entry["model"], entry["layer"], entry["table"], schema,
-        **{key: tuple(names) for key, names in named.items()},
-    )
+    return MartSpec(entry["model"], entry["layer"], entry["table"], schema, **lists)
 
 
 def load_marts(path: Path | str = DEFAULT_FILE) -> dict[str, MartSpec]:
     """Mart specs by model name; any breach of the rules is an error."""
     path = Path(path)
-    specs = [parse_spec(entry, path.parent) for entry in json.loads(path.read_text())]
+    specs = [parse_spec(entry, path.parent) for entry in json.loads(path.read_text())["marts"]]
     if not specs:
         raise ValueError("no marts are configured")
     targets = [(spec.layer, spec.table) for spec in specs]

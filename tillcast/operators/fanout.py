@@ -76,14 +76,14 @@ def fan_out_sales(sales: DataFrame, cities: DataFrame, profiles: DataFrame) -> D
     ).withColumns(
         {
             "source_sale_id": source_sale_id(),
-            "sold_local_at": clock.wall_clock(F.col("date"), F.col("time")),
+            "_wall": clock.wall_clock(F.col("date"), F.col("time")),
         }
     )
     expanded = per_city(spread(base), city_directory(cities, profiles))
     receipts = expanded.withColumns(
         {
             "synthetic_sale_id": keys.sha256_id(F.col("source_sale_id"), F.col("city_slug")),
-            "sold_at": clock.to_utc(F.col("sold_local_at"), F.col("timezone")),
+            "sold_at": clock.to_utc(F.col("_wall"), F.col("timezone")),
             "amount_rub": money.price(F.col("amount_money"), F.col("price_multiplier")),
             "line_number": F.lit(1),
             "quantity": F.lit(1),

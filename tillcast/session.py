@@ -14,6 +14,8 @@ SETTINGS = {
     # A hot key is split at run time even where that costs one more exchange.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Recording the Python call site of each column costs more than the plan itself.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.enabled": "false",
 }
 
