@@ -15,8 +15,12 @@ MAX_SMALL_ROWS = 10_000
 
 
 def is_small(df: DataFrame, rows: int = MAX_SMALL_ROWS) -> bool:
-    """Whether a table has at most ``rows`` rows; reads no more than that."""
-    return df.select(F.lit(1)).limit(rows + 1).count() <= rows
+    """Whether a table has at most ``rows`` rows.
+
+    Counted in full: on a written table that reads file footers only, while a
+    limit would send its rows from every task to a single one.
+    """
+    return df.count() <= rows
 
 
 def broadcast_if(df: DataFrame, proven_small: bool) -> DataFrame:
