@@ -4,6 +4,8 @@ from datetime import date, datetime, timedelta
 import pytest
 
 from tillcast.operators.quality import QualityError
+from tillcast import schemas
+from tillcast.plans import raw as raw_loads
 from tillcast.plans import refresh
 from tillcast.sources import cities as city_source
 from tillcast.sources import tables
@@ -77,3 +79,41 @@ def test_a_failed_audit_shows_no_sales(spark, raw, shared):
         refresh.fan_out(doubled, raw["cities"], city_source.profile_rows(spark), shared, "901")
     shown = {name for name in tables.table_names(spark, "raw") - before if "__v" not in name}
     assert shown == set()
+
+
+def test_load_jobs(spark, raw, shared, tmp_path, monkeypatch):
+    monkeypatch.setattr(raw_loads, "RAW", "raw_loads")
+    now = datetime(2024, 3, 1)
+
+    (tmp_path / "log.csv").write_text(
+        ",".join(schemas.SALES_LOG.names) + "\n10,card,38.7,Latte,Morning,Fri,Mar,5,3,2024-03-01,10:15:50.520000\n"
+    )
+    assert raw_loads.load_sales_log(spark, str(tmp_path / "log.csv"), shared, "001")
+    assert not raw_loads.load_sales_log(spark, str(tmp_path / "log.csv"), shared, "002")
+
+    assert raw_loads.seed_cities(spark, shared, "001", now).count() == 20
+    assert {r.updated_at for r in raw_loads.seed_cities(spark, shared, "002", now + timedelta(1)).collect()} == {now + timedelta(1)}
+
+    def load(run, *hours, stamp="2024-03-01 05:10:00"):
+        docs = [[f"c{n}", "2024-03-01 05:00:00", 3, document(now, h), stamp] for n, h in enumerate(hours)]
+        landed = spark.createDataFrame([tuple(map(str, d)) for d in docs], "a string, b string, c string, d string, e string")
+        typed = landed.selectExpr(
+            "a city_slug", "cast(b as timestamp_ntz) issued_at", "cast(c as int) forecast_days", "d payload",
+            "cast(e as timestamp_ntz) loaded_at",
+        )
+        return raw_loads.load_documents(typed, "weather_forecast", shared, run)
+
+    assert load("001", 72, 5) == {"documents": 2, "total_hours": 77, "incomplete": 1}
+    assert load("002", 72, 72, 72, stamp="2024-03-01 06:10:00") == {"documents": 3, "total_hours": 216, "incomplete": 0}
+    table = spark.table("raw_loads.weather_forecast")
+    assert sorted((r.city_slug, r.loaded_at.hour) for r in table.collect()) == [("c0", 6), ("c1", 6), ("c2", 6)]
+    with pytest.raises(Exception, match="no hours in the document of c1"):
+        load("003", 72, 0)
+    assert spark.table("raw_loads.weather_forecast").count() == 3
+
+
+def test_jobs_are_parsed():
+    args = refresh.parser().parse_args(["fan-out", "--path", "p.csv", "--check-only"])
+    assert (args.job, args.path, args.check_only) == ("fan-out", "p.csv", True)
+    with pytest.raises(SystemExit):
+        refresh.parser().parse_args(["drop-everything"])

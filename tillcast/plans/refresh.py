@@ -12,9 +12,9 @@ from tillcast.contracts import load_marts
 from tillcast.operators import quality
 from tillcast.operators.fanout import fan_out_sales
 from tillcast.operators.publish import publish_mart
-from tillcast.plans import checks, core, marts, staging
+from tillcast.plans import checks, core, marts, raw, staging
 from tillcast.session import build_session, shared_dir
-from tillcast.sources import readers, tables
+from tillcast.sources import readers, snapshot, tables
 
 
 def fan_out(sales_log: DataFrame, cities: DataFrame, profiles: DataFrame, root: str, run_id: str,
@@ -35,14 +35,14 @@ def fan_out(sales_log: DataFrame, cities: DataFrame, profiles: DataFrame, root:
     return spark.table("raw.synthetic_coffee_sales")
 
 
-def build_core(raw: dict[str, DataFrame], root: str, run_id: str, today: date) -> dict[str, DataFrame]:
+def build_core(inputs: dict[str, DataFrame], root: str, run_id: str, today: date) -> dict[str, DataFrame]:
     """Staging models as views and core models as tables."""
     staged = {
-        "cities": staging.stg_cities(raw["cities"]),
-        "sales_log": staging.stg_sales_log(raw["kaggle_coffee"]),
-        "synthetic_sales": staging.stg_synthetic_sales(raw["synthetic_coffee_sales"]),
-        "weather_hourly": staging.stg_weather_hourly(raw["weather_archive"]),
-        "weather_forecast": staging.stg_weather_forecast(raw["weather_forecast"]),
+        "cities": staging.stg_cities(inputs["cities"]),
+        "sales_log": staging.stg_sales_log(inputs["kaggle_coffee"]),
+        "synthetic_sales": staging.stg_synthetic_sales(inputs["synthetic_coffee_sales"]),
+        "weather_hourly": staging.stg_weather_hourly(inputs["weather_archive"]),
+        "weather_forecast": staging.stg_weather_forecast(inputs["weather_forecast"]),
     }
     for name, df in staged.items():
         tables.as_view(df, "stg", name)
@@ -91,7 +91,7 @@ def verify(models: dict[str, DataFrame], layer: str, cross: dict[str, DataFrame]
     quality.gate({**wanted, **cross})
 
 
-def refresh(raw: dict[str, DataFrame], root: str, run_id: str, today: date) -> list[dict[str, str]]:
+def refresh(inputs: dict[str, DataFrame], root: str, run_id: str, today: date) -> list[dict[str, str]]:
     """Build, verify, publish.
 
     The core layer is verified before the marts are built: repeated receipt keys
@@ -99,8 +99,8 @@ def refresh(raw: dict[str, DataFrame], root: str, run_id: str, today: date) -> l
     they were.
     """
     specs = load_marts()
-    spark = next(iter(raw.values())).sparkSession
-    models = build_core(raw, root, run_id, today)
+    spark = next(iter(inputs.values())).sparkSession
+    models = build_core(inputs, root, run_id, today)
     verify(models, "core_", checks.core_checks(models))
     models |= build_marts(models, root, run_id)
     unbuilt = tables.missing_tables(spark, "marts", list(specs))
@@ -121,24 +121,48 @@ def new_run_id(now: datetime) -> str:
     return now.strftime("%Y%m%d%H%M%S")
 
 
+def run(args: argparse.Namespace, spark: SparkSession, now: datetime) -> list[object]:
+    """Run one job and return the lines it reports."""
+    root, run_id = f"{shared_dir(spark)}/warehouse", new_run_id(now)
+    if args.job == "load-sales":
+        return ["loaded" if raw.load_sales_log(spark, args.path, root, run_id) else "already loaded"]
+    if args.job == "seed-cities":
+        return [f"{raw.seed_cities(spark, root, run_id, now.replace(tzinfo=None)).count()} cities"]
+    if args.job in ("weather_archive", "weather_forecast"):
+        landed = readers.read_documents(spark, args.path, schemas.RAW_TABLES[args.job])
+        return [raw.load_documents(landed, args.job, root, run_id)]
+    if args.job == "fan-out":
+        profiles = readers.read_city_profiles(spark, args.path)
+        sales, cities = spark.table("raw.kaggle_coffee"), spark.table("raw.cities")
+        fan_out(sales, cities, profiles, root, run_id, args.check_only)
+        return ["fan-out passed its audit"]
+    if args.job == "export-snapshot":
+        return snapshot.export_snapshot(read_raw(spark), args.path).collect()
+    if args.job == "restore-snapshot":
+        done = snapshot.restore_snapshot(spark, args.path, root, run_id)
+        return ["restored" if done else "the raw layer is already there"]
+    return refresh(read_raw(spark), root, run_id, now.date())
+
+
+JOBS = [
+    "load-sales", "seed-cities", "weather_archive", "weather_forecast", "fan-out", "refresh",
+    "export-snapshot", "restore-snapshot",
+]
+
+
+def parser() -> argparse.ArgumentParser:
+    options = argparse.ArgumentParser(description="Jobs of the sales and weather warehouse.")
+    options.add_argument("job", choices=JOBS)
+    options.add_argument("--path", help="file or folder the job reads, or the snapshot folder")
+    options.add_argument("--check-only", action="store_true", help="audit the fan-out without writing it")
+    return options
+
+
 def main() -> None:
-    parser = argparse.ArgumentParser(description="Fan out the sales log, or refresh and publish the marts.")
-    parser.add_argument("job", choices=["fan-out", "refresh"])
-    parser.add_argument("--profiles", help="CSV file of city profiles (fan-out)")
-    parser.add_argument("--check-only", action="store_true", help="audit the fan-out without writing it")
-    args = parser.parse_args()
+    args = parser().parse_args()
     spark = build_session()
-    now = datetime.now(timezone.utc)
-    root = f"{shared_dir(spark)}/warehouse"
-    if args.job == "fan-out":
-        profiles = readers.read_city_profiles(spark, args.profiles)
-        fan_out(
-            spark.table("raw.kaggle_coffee"), spark.table("raw.cities"), profiles, root,
-            new_run_id(now), args.check_only,
-        )
-    else:
-        for published in refresh(read_raw(spark), root, new_run_id(now), now.date()):
-            print(published)
+    for line in run(args, spark, datetime.now(timezone.utc)):
+        print(line)
     spark.stop()
 
 
