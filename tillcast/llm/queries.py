@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from tillcast.llm.decontaminate import op7_decontaminate
+from tillcast.llm.language_id import op9_language_id
 from tillcast.llm.quality_rules import op8_quality_rules
 
 QUERIES = {
+    "op7_decontaminate": op7_decontaminate,
     "op8_quality_rules": op8_quality_rules,
+    "op9_language_id": op9_language_id,
 }
 
 QUERIES_SQL: dict[str, str] = {}
