@@ -63,6 +63,9 @@ def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES) -> Iterat
     """Runs of rows of at most ``limit`` text bytes, one row at least."""
     if not batch.num_rows:
         return
+    if not text:
+        yield batch
+        return
     sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(text)), 0), dtype=np.int64)
     ends = np.cumsum(sizes)
     at = 0
@@ -73,12 +76,13 @@ def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES) -> Iterat
         at = stop
 
 
-def map_slices(df: DataFrame, make: Callable, schema: str, text: str = "text") -> DataFrame:
+def map_slices(df: DataFrame, make: Callable, schema: str | StructType, text: str = "text") -> DataFrame:
     """Run ``make()`` once per task and apply it to slices of rows, columns as lists in and out.
 
+    Without a ``text`` column to measure, slices are Spark's own batches.
     What ``make`` returns may have a ``finish`` method, called after the last slice for rows gathered over a task.
     """
-    kind = StructType.fromDDL(schema)
+    kind = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     arrow = to_arrow_schema(kind)
 
     def run(batches):

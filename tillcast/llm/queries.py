@@ -4,12 +4,36 @@ from __future__ import annotations
 
 from tillcast.llm.decontaminate import op7_decontaminate
 from tillcast.llm.language_id import op9_language_id
+from tillcast.llm.line_dedup import op6_line_dedup
+from tillcast.llm.quality_classifier import op1_quality_classifier
 from tillcast.llm.quality_rules import op8_quality_rules
 
 QUERIES = {
+    "op1_quality_classifier": op1_quality_classifier,
+    "op6_line_dedup": op6_line_dedup,
     "op7_decontaminate": op7_decontaminate,
     "op8_quality_rules": op8_quality_rules,
     "op9_language_id": op9_language_id,
 }
 
-QUERIES_SQL: dict[str, str] = {}
+#: Keys with the SQL that DuckDB runs on the same tables; queries without one are tested against brute force.
+LINE_DEDUP_SQL = r"""
+with lines as (
+    select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as place
+    from documents
+), keyed as (
+    select doc_id, place, line,
+        translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
+    from lines
+), firsts as (
+    select key, min(doc_id) as first_doc from keyed where length(key) >= 10 group by key
+), judged as (
+    select k.doc_id, k.place, k.line, f.first_doc is null or f.first_doc = k.doc_id as kept
+    from keyed k left join firsts f on f.key = k.key
+)
+select doc_id, count(*) as n_lines, count(*) filter (where not kept) as n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) order by place) filter (where kept), '')) as kept_sha256
+from judged group by doc_id
+"""
+
+QUERIES_SQL: dict[str, str] = {"op6_line_dedup": LINE_DEDUP_SQL}
