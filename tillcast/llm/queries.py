@@ -5,13 +5,17 @@ from __future__ import annotations
 from tillcast.llm.decontaminate import op7_decontaminate
 from tillcast.llm.language_id import op9_language_id
 from tillcast.llm.line_dedup import op6_line_dedup
+from tillcast.llm.mixing import op2_mixing
 from tillcast.llm.personal_data import op4_personal_data
 from tillcast.llm.quality_classifier import op1_quality_classifier
 from tillcast.llm.quality_rules import op8_quality_rules
+from tillcast.llm.secrets import op5_secret_scan
 
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
+    "op2_mixing": op2_mixing,
     "op4_personal_data": op4_personal_data,
+    "op5_secret_scan": op5_secret_scan,
     "op6_line_dedup": op6_line_dedup,
     "op7_decontaminate": op7_decontaminate,
     "op8_quality_rules": op8_quality_rules,
