@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tillcast.llm.decontaminate import op7_decontaminate
 from tillcast.llm.language_id import op9_language_id
+from tillcast.llm.lattice_lm import op3_lattice_lm
 from tillcast.llm.line_dedup import op6_line_dedup
 from tillcast.llm.mixing import op2_mixing
 from tillcast.llm.personal_data import op4_personal_data
@@ -14,6 +15,7 @@ from tillcast.llm.secrets import op5_secret_scan
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_mixing": op2_mixing,
+    "op3_lattice_lm": op3_lattice_lm,
     "op4_personal_data": op4_personal_data,
     "op5_secret_scan": op5_secret_scan,
     "op6_line_dedup": op6_line_dedup,
