@@ -100,6 +100,18 @@ def map_slices(df: DataFrame, make: Callable, schema: str | StructType, text: st
     return df.mapInArrow(run, kind)
 
 
+def filter_slices(df: DataFrame, make: Callable, text: str = "text") -> DataFrame:
+    """The rows that ``make()``, run once per task, marks as kept from the texts of a slice; nothing is shuffled."""
+
+    def run(batches):
+        keep = make()
+        for batch in batches:
+            for part in slices(batch, text):
+                yield part.filter(pa.array(np.asarray(keep(part.column(text).to_pylist()), bool)))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def encode(texts: list, lower: bool = False) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     """Word ids, words per text and the distinct words of texts; words are runs of bytes outside ``[\\x20\\x09-\\x0D]``."""
     seen: dict = defaultdict()

@@ -16,13 +16,14 @@ as hit but isn't listed. Null document ids are kept.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 from itertools import repeat
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillcast.llm.common import map_slices, table, written
+from tillcast.llm.common import filter_slices, map_slices, table, written
 
 #: Words of a test window; a shorter item is one window.
 WINDOW = 10
@@ -166,17 +167,20 @@ def passed(documents: DataFrame, rows: list[tuple]) -> DataFrame:
     return map_slices(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), make, FOUND)
 
 
-def find_matches(documents: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Per document its words and its longest verbatim matches with test items, of a window at least.
-
-    Blocks hold whole items by a hash of their row; each is read and sent on its own.
-    """
+def item_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple]]:
+    """Rows of the test set in blocks of whole items by a hash of their row; each is read on its own."""
     items = benchmark.where("text is not null").select(F.col("item_id").cast("string").alias("item_id"), "text")
     size = items.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
     blocks = -(-size // block_bytes) or 1
     of = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
-    passes = [passed(documents, [tuple(r) for r in items.where(of == k).collect()]) for k in range(blocks)]
-    if blocks == 1:
+    for k in range(blocks):
+        yield [tuple(r) for r in items.where(of == k).collect()]
+
+
+def find_matches(documents: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Per document its words and its longest verbatim matches with test items, of a window at least."""
+    passes = [passed(documents, block) for block in item_blocks(benchmark, block_bytes)]
+    if len(passes) == 1:
         return passes[0].drop("text_key")
     # Rows alike in id and text have the same matches, so each pass needs one of them.
     hits = passes[0].where(F.size("matches") > 0)
@@ -217,10 +221,17 @@ def digest(found: DataFrame) -> DataFrame:
     )
 
 
-def clean(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents without a test window, all their columns kept; rows are judged by their id and text."""
-    dirty = find_matches(documents, benchmark).where(F.size("matches") > 0).select(F.col("doc_id").alias("dirty_id")).distinct()
-    return documents.join(dirty, F.col("doc_id").cast("long").eqNullSafe(F.col("dirty_id")), "left_anti")
+def clean(documents: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The documents without a test window, with all their columns."""
+    for block in item_blocks(benchmark, block_bytes):
+        held = documents.sparkSession.sparkContext.broadcast(block)
+
+        def make(held=held):
+            items = Items(held.value)
+            return lambda texts: [not m for m in shard_matches([words(t) for t in texts], items)]
+
+        documents = filter_slices(documents, make)
+    return documents
 
 
 def op7_decontaminate(spark, folder: str) -> DataFrame:

@@ -12,7 +12,7 @@ square root of a document's length, as word counts are far from independent.
 
 A null or empty text has no tokens: prior probabilities, a rate like others, no weight in the sums. Repeated rows each
 count. Labels outside the targets are ignored; a domain without labelled rows gets its share by the smoothing alone.
-An empty table gives no rows. Targets need not be reachable: rates then end at the nearest point.
+An empty table gives no rows. Targets need not be reachable within MOST: rates then end at the nearest point.
 """
 
 from __future__ import annotations
@@ -25,8 +25,10 @@ from tillcast.llm.common import table, written
 
 #: Hash buckets of words, which is what is broadcast; most labelled rows of the classifier; added to each count.
 BUCKETS, LABELLED_ROWS, SMOOTHING = 1 << 15, 20_000, 0.5
-#: Least relative gap to a target, and most steps.
+#: The fit ends at this gap to the targets, as a share of all tokens, or when a step changes the gap by less, or after STEPS.
 GAP, STEPS = 1e-9, 40
+#: Greatest rate: a document repeats no oftener, however scarce its domain.
+MOST = 10.0
 #: Shares of tokens aimed at.
 TARGETS = {"good": 0.9, "poor": 0.07, "toxic": 0.03}
 
@@ -75,12 +77,12 @@ def memberships(documents: DataFrame, weights: DataFrame, priors: list[float]) -
 
 
 def rate(steps: list[np.ndarray], n: int) -> Column:
-    """The rate of a document after the steps: from 1, down along its probabilities, never below 0."""
+    """The rate of a document after the steps: from 1, down along its probabilities, kept between 0 and MOST."""
     if not steps:
         return F.lit(1.0)
     history = F.array(*[F.array(*[F.lit(float(x)) for x in g]) for g in steps])
     dot = lambda g: sum((F.get(g, F.lit(k)) * F.col(f"p{k}") for k in range(1, n)), F.get(g, F.lit(0)) * F.col("p0"))
-    return F.aggregate(history, F.lit(1.0), lambda r, g: F.greatest(F.lit(0.0), r - dot(g)))
+    return F.aggregate(history, F.lit(1.0), lambda r, g: F.least(F.lit(MOST), F.greatest(F.lit(0.0), r - dot(g))))
 
 
 def fit_rates(members: DataFrame, shares: list[float]) -> Column:
@@ -98,11 +100,13 @@ def fit_rates(members: DataFrame, shares: list[float]) -> Column:
     target = total * np.array(shares) / sum(shares)
     inverse = np.linalg.pinv(gram + np.eye(n) * 1e-9 * np.trace(gram))
     steps: list[np.ndarray] = []
+    last = np.full(n, np.inf)
     for _ in range(STEPS):
         held = members.agg(*[F.sum(rate(steps, n) * tokens * F.col(f"p{k}")) for k in range(n)]).first()
         gap = np.array(held, float) - target
-        if np.abs(gap).max() <= GAP * total:
+        if np.abs(gap).max() <= GAP * total or np.abs(gap - last).max() <= 1e3 * GAP * total:
             break
+        last = gap
         steps.append(inverse @ gap)
     return rate(steps, n)
 

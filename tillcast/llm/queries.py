@@ -7,6 +7,7 @@ from tillcast.llm.language_id import op9_language_id
 from tillcast.llm.lattice_lm import op3_lattice_lm
 from tillcast.llm.line_dedup import op6_line_dedup
 from tillcast.llm.mixing import op2_mixing
+from tillcast.llm.near_duplicates import op10_jaccard_join
 from tillcast.llm.personal_data import op4_personal_data
 from tillcast.llm.quality_classifier import op1_quality_classifier
 from tillcast.llm.quality_rules import op8_quality_rules
@@ -22,6 +23,7 @@ QUERIES = {
     "op7_decontaminate": op7_decontaminate,
     "op8_quality_rules": op8_quality_rules,
     "op9_language_id": op9_language_id,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
 #: Keys with the SQL that DuckDB runs on the same tables; queries without one are tested against brute force.
