@@ -150,8 +150,8 @@ def kept_text(text: str | None, keep: bytes | None) -> str | None:
 
 
 def with_bitmaps(documents: DataFrame) -> DataFrame:
-    maps = keep_bitmaps(documents).select(F.col("doc_id").alias("map_id"), F.col("text_key").alias("map_key"), F.col("keep").alias("map_keep"))
-    return documents.join(maps, F.col("doc_id").cast("long").eqNullSafe(F.col("map_id")) & (F.xxhash64("text") == F.col("map_key")), "left").drop("map_id", "map_key")
+    maps = keep_bitmaps(documents).select(F.col("doc_id").alias("_tillcast_id"), F.col("text_key").alias("_tillcast_key"), F.col("keep").alias("_tillcast_keep"))
+    return documents.join(maps, F.col("doc_id").cast("long").eqNullSafe(F.col("_tillcast_id")) & (F.xxhash64("text") == F.col("_tillcast_key")), "left").drop("_tillcast_id", "_tillcast_key")
 
 
 def dedup_lines(documents: DataFrame) -> DataFrame:
@@ -160,7 +160,7 @@ def dedup_lines(documents: DataFrame) -> DataFrame:
 
     def make():
         def step(rows):
-            rows["text"] = [kept_text(t, k) for t, k in zip(rows["text"], rows["map_keep"], strict=True)]
+            rows["text"] = [kept_text(t, k) for t, k in zip(rows["text"], rows["_tillcast_keep"], strict=True)]
             return {n: rows[n] for n in names}
 
         return step
@@ -170,8 +170,8 @@ def dedup_lines(documents: DataFrame) -> DataFrame:
 
 def digests(rows: dict) -> dict:
     before = [(t or "").count("\n") + 1 for t in rows["text"]]
-    after = [kept_text(t, k) for t, k in zip(rows["text"], rows["map_keep"], strict=True)]
-    bits = [n if k is None else int(np.unpackbits(np.frombuffer(zlib.decompress(k), np.uint8), count=n).sum()) for n, k in zip(before, rows["map_keep"], strict=True)]
+    after = [kept_text(t, k) for t, k in zip(rows["text"], rows["_tillcast_keep"], strict=True)]
+    bits = [n if k is None else int(np.unpackbits(np.frombuffer(zlib.decompress(k), np.uint8), count=n).sum()) for n, k in zip(before, rows["_tillcast_keep"], strict=True)]
     return {
         "doc_id": rows["doc_id"],
         "n_lines": before,

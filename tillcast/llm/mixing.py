@@ -11,8 +11,8 @@ Everything is DataFrame functions; the driver sees sums by domain only. The prob
 square root of a document's length, as word counts are far from independent.
 
 A null or empty text has no tokens: prior probabilities, a rate like others, no weight in the sums. Repeated rows each
-count. Labels outside the targets are ignored; a domain without labelled rows gets its share by the smoothing alone.
-An empty table gives no rows. Targets need not be reachable within MOST: rates then end at the nearest point.
+count. Labels outside the targets are ignored; a domain without labelled rows is as likely as
+its prior. An empty table gives no rows. Targets need not be reachable within MOST: rates then end at the nearest point.
 """
 
 from __future__ import annotations
@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 
 from tillcast.llm.common import table, written
 
-#: Hash buckets of words, which is what is broadcast; most labelled rows of the classifier; added to each count.
-BUCKETS, LABELLED_ROWS, SMOOTHING = 1 << 15, 20_000, 0.5
+#: Hash buckets of words, which is what is broadcast; most labelled rows of the classifier; words of all domains
+#: together that each domain's counts are smoothed with.
+BUCKETS, LABELLED_ROWS, SMOOTHING = 1 << 15, 20_000, 1000.0
 #: The fit ends at this gap to the targets, as a share of all tokens, or when a step changes the gap by less, or after STEPS.
 GAP, STEPS = 1e-9, 40
 #: Greatest rate: a document repeats no oftener, however scarce its domain.
@@ -49,7 +50,7 @@ def word_rows(documents: DataFrame, *keep: str) -> DataFrame:
 
 
 def fit(documents: DataFrame, labels: DataFrame, domains: list[str], rows: int = LABELLED_ROWS) -> tuple[DataFrame, list[float]]:
-    """Log probabilities of each bucket by domain (``w0``, ``w1``, …), and log priors; ``labels`` has doc_id and domain."""
+    """Log-likelihood ratio of each bucket by domain (``w0``, ``w1``, …), and log priors; ``labels`` has doc_id and domain."""
     sample = labels.where(F.col("domain").isin(domains)).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     marked = word_rows(documents.select("doc_id", "text").join(F.broadcast(sample), "doc_id"), "domain")
     count = lambda d: F.count(F.when(F.col("domain") == d, 1))
@@ -59,7 +60,12 @@ def fit(documents: DataFrame, labels: DataFrame, domains: list[str], rows: int =
     totals = every.agg(*[F.sum(f"n{k}") for k in range(len(domains))]).first()
     held = {r["domain"]: r["n"] for r in sample.groupBy("domain").agg(F.count("*").alias("n")).collect()}
     priors = [np.log((held.get(d, 0) + 1) / (sum(held.values()) + len(domains))).item() for d in domains]
-    logs = [(F.log(F.col(f"n{k}") + SMOOTHING) - F.lit(float(np.log(totals[k] + SMOOTHING * BUCKETS)))).alias(f"w{k}") for k in range(len(domains))]
+    # Against the share of the bucket in all domains; a bucket that no labelled text holds says nothing.
+    pooled = sum((F.col(f"n{k}") for k in range(1, len(domains))), F.col("n0")) / F.lit(float(max(1, sum(t or 0 for t in totals))))
+    logs = [
+        F.when(pooled > 0, F.log((F.col(f"n{k}") + SMOOTHING * pooled) / (F.lit((totals[k] or 0) + SMOOTHING) * pooled))).otherwise(0.0).alias(f"w{k}")
+        for k in range(len(domains))
+    ]
     return every.select("bucket", *logs), priors
 
 

@@ -7,8 +7,8 @@ the whole label until a pair at the threshold meets in some tree with the target
 too little are dropped; the others' connected parts are verified exactly, shingle set against shingle set, in blocks of
 bounded size. Links are counted inside the blocks; only counts and spanning edges leave them, never all pairs.
 
-In a large meeting each text is compared with the meeting's first text and its neighbours in the trie; those unlike the
-first meet anew among themselves, until none is left.
+In a large meeting each text is compared with the meeting's least one; only if some are unlike it are all of the meeting
+compared, in blocks of bounded size as well.
 
 One row per row of the input: class id (least document id among all linked, directly or not, copies included) and the
 number of other rows that are linked directly. A null or empty text has no shingle: a class of its own, no link. Repeated
@@ -30,8 +30,10 @@ WORDS, SIMILAR, RECALL = 5, 0.8, 0.999
 TREES, LABEL = 40, 8
 #: Least agreement of signatures of a pair that is verified: over six standard deviations below SIMILAR.
 AGREE = 0.65
-#: A meeting of at most so many texts compares all; a block holds about so many texts, and so many shingles.
-SMALL, BLOCK_TEXTS, BLOCK_SHINGLES = 16, 128, 1 << 18
+#: A meeting of at most so many texts compares all pairs; a block of a larger one holds about so many.
+SMALL, MET_BLOCK = 16, 512
+#: A block of a connected part holds about so many texts, and so many shingles.
+BLOCK_TEXTS, BLOCK_SHINGLES = 128, 1 << 18
 #: Shingles hashed at once, and rows of one meeting that a task holds.
 CHUNK, HELD = 1 << 16, 1 << 16
 
@@ -74,7 +76,7 @@ def multipliers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def minhashes(keys: np.ndarray, counts: np.ndarray, factors: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Signature of each non-empty set: low 16 bits of the least of each permuted hash."""
+    """Signature of each non-empty set: 16 bits of the least of each permuted hash."""
     out = np.zeros((len(counts), len(factors)), np.uint16)
     ends = np.cumsum(counts)
     at = 0
@@ -119,26 +121,41 @@ def signed(documents: DataFrame) -> DataFrame:
     return written(map_slices(keyed, make, SIGNED))
 
 
+def streamed_groups(batches, key: list[str], solve, schema: pa.Schema):
+    """``solve`` applied to each run of rows with one key, over batches sorted by key; it gets the rows as an Arrow table."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.stack([batch.column(k).to_numpy() for k in key], axis=1)
+        heads = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1), batch.num_rows]
+        for h, t in zip(heads[:-1], heads[1:], strict=True):
+            part = batch.slice(h, t - h)
+            if held and any(held[0].column(k)[0].as_py() != part.column(k)[0].as_py() for k in key):
+                yield pa.RecordBatch.from_pydict(solve(pa.Table.from_batches(held)), schema=schema)
+                held = []
+            held.append(part)
+    if held:
+        yield pa.RecordBatch.from_pydict(solve(pa.Table.from_batches(held)), schema=schema)
+
+
 def meetings(labels: DataFrame) -> DataFrame:
-    """Pairs to compare (a, b, bucket) from labels (bucket, label, node) sorted within partitions.
+    """Pairs to compare (a, b, bucket) from labels (bucket, node) sorted within partitions.
 
-    ``bucket`` is set where a meeting is large and ``a`` its first text.
+    In a small meeting all meet; in a large one, which sets ``bucket``, each meets the least node.
     """
 
     def pairs(bucket, nodes, large, out):
         m = len(nodes)
         if m <= SMALL and not large:
             i, j = np.triu_indices(m, 1)
-            out.append((nodes[i], nodes[j], np.zeros(len(i), bool), np.full(len(i), bucket)))
+            out.append((np.minimum(nodes[i], nodes[j]), np.maximum(nodes[i], nodes[j]), np.full(len(i), bucket), np.zeros(len(i), bool)))
         else:
-            out.append((np.full(m - 1, nodes[0]), nodes[1:], np.ones(m - 1, bool), np.full(m - 1, bucket)))
-            out.append((nodes[1:-1], nodes[2:], np.zeros(max(0, m - 2), bool), np.full(max(0, m - 2), bucket)))
+            out.append((np.full(m - 1, nodes[0]), nodes[1:], np.full(m - 1, bucket), np.ones(m - 1, bool)))
 
     def rows(out):
-        a, b, large, bucket = (np.concatenate(x) for x in zip(*out, strict=True))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(bucket, mask=~large), pa.array(b)], ["a", "b", "bucket", "other"]
-        )
+        a, b, bucket, large = (np.concatenate(x) for x in zip(*out, strict=True))
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(bucket, mask=~large)], ["a", "b", "bucket"])
 
     def run(batches):
         bucket, nodes, large = np.zeros(0, np.int64), np.zeros(0, np.int64), False
@@ -149,14 +166,13 @@ def meetings(labels: DataFrame) -> DataFrame:
                 continue
             heads = np.flatnonzero(np.concatenate([[True], np.diff(bucket) != 0]))
             sizes, out = np.diff(np.append(heads, len(bucket))), []
-            for h, m in zip(heads[:-1], sizes[:-1], strict=True):
-                if m > 1:
-                    pairs(bucket[h], nodes[h : h + m], large and h == 0, out)
+            for k in np.flatnonzero(sizes[:-1] > 1):
+                pairs(bucket[heads[k]], nodes[heads[k] : heads[k] + sizes[k]], large and k == 0, out)
             large = large and len(heads) == 1
             bucket, nodes = bucket[heads[-1] :], nodes[heads[-1] :]
             if len(nodes) > HELD:
                 pairs(bucket[0], nodes, True, out)
-                bucket, nodes, large = bucket[:2], nodes[[0, -1]], True
+                bucket, nodes, large = bucket[:1], nodes[:1], True
             if out:
                 yield rows(out)
         if len(nodes) > 1:
@@ -164,7 +180,7 @@ def meetings(labels: DataFrame) -> DataFrame:
             pairs(bucket[0], nodes, large, out)
             yield rows(out)
 
-    return labels.mapInArrow(run, "a long, b long, bucket long, other long")
+    return labels.mapInArrow(run, "a long, b long, bucket long")
 
 
 def agreeing(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
@@ -175,33 +191,75 @@ def agreeing(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             one, two = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(batch.num_rows, -1) for c in ("one", "two"))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array((one == two).mean(axis=1))], ["a", "b", "agree"])
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array((one == two).mean(axis=1) if batch.num_rows else np.zeros(0))], ["a", "b", "agree"])
 
     return pairs.join(left, "a").join(right, "b").select("a", "b", "one", "two").mapInArrow(run, "a long, b long, agree double")
 
 
+def connected(like) -> list[tuple[int, int]]:
+    """Spanning edges of 0 … n-1; ``like(k, others)`` marks those of the others that k is linked to."""
+    left, edges = np.arange(len(like.rows)), []
+    while len(left):
+        front, left = [left[0]], left[1:]
+        while front and len(left):
+            k = front.pop()
+            near = like(k, left)
+            edges += [(k, x) for x in left[near]]
+            front += left[near].tolist()
+            left = left[~near]
+    return edges
+
+
+class Agreement:
+    """Links of rows whose signatures agree enough."""
+
+    def __init__(self, signatures: list[bytes]):
+        self.rows = np.frombuffer(b"".join(signatures), np.uint16).reshape(len(signatures), -1)
+
+    def __call__(self, k, others):
+        return (self.rows[others] == self.rows[k]).mean(axis=1) >= AGREE
+
+
+def met_in_blocks(members: DataFrame) -> DataFrame:
+    """Edges (a, b) that span what agrees in each block of a meeting: rows (bucket, i, j, node, signature), sorted."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def solve(rows):
+        nodes = rows["node"].to_numpy()
+        edges = np.array(connected(Agreement(rows["signature"].to_pylist())), np.int64).reshape(-1, 2)
+        return {"a": nodes[edges[:, 0]], "b": nodes[edges[:, 1]]}
+
+    return members.mapInArrow(lambda batches: streamed_groups(batches, ["bucket", "i", "j"], solve, schema), "a long, b long")
+
+
+def in_block_pairs(rows: DataFrame, node: str, *key: str) -> DataFrame:
+    """Each row once for every pair (i, j) of blocks with its own; ``blocks`` says how many blocks the key has."""
+    own = rows.withColumn("block", F.pmod(F.xxhash64(node), F.col("blocks")))
+    spread = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    paired = spread.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("other", "blocks")
+    return paired.repartition(*key, "i", "j").sortWithinPartitions(*key, "i", "j", node)
+
+
 def candidates(representatives: DataFrame) -> DataFrame:
     """Edges (a, b) that connect all representatives which may be alike."""
     size = 2 * prefix_length()
     trees = representatives.select("rep", "signature", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
     label = trees.select(F.col("rep").alias("node"), "tree", F.expr(f"substring(signature, tree * {2 * LABEL} + 1, {2 * LABEL})").alias("label"))
-    label = label.withColumn("bucket", F.xxhash64("tree", F.expr(f"substring(label, 1, {size})")))
-    met = written(meetings(label.repartition("bucket").sortWithinPartitions("bucket", "label", "node").select("bucket", "node")))
-    compared = written(agreeing(met.select("a", "b").distinct(), representatives))
-    edges = [compared.where(F.col("agree") >= AGREE).select("a", "b")]
-    # Texts of a large meeting that are unlike its first text meet among themselves.
-    rest = met.where("bucket is not null").join(compared.where(F.col("agree") < AGREE), ["a", "b"]).select("bucket", F.col("other").alias("node"))
-    rest = written(rest)
-    while not rest.isEmpty():
-        first = rest.groupBy("bucket").agg(F.min("node").alias("hub"))
-        pairs = rest.join(first, "bucket").where("node != hub").select("bucket", "node", F.col("hub").alias("a"), F.col("node").alias("b"))
-        more = written(agreeing(pairs.select("a", "b").distinct(), representatives))
-        edges.append(more.where(F.col("agree") >= AGREE).select("a", "b"))
-        rest = written(pairs.join(more.where(F.col("agree") < AGREE), ["a", "b"]).select("bucket", "node"))
-    out = edges[0]
-    for more in edges[1:]:
-        out = out.unionByName(more)
-    return out
+    label = label.select(F.xxhash64("tree", F.expr(f"substring(label, 1, {size})")).alias("bucket"), "node")
+    met = written(meetings(label.repartition("bucket").sortWithinPartitions("bucket", "node")))
+    pairs = written(met.select("a", "b").distinct())
+    nodes = pairs.select(F.col("a").alias("rep")).union(pairs.select(F.col("b").alias("rep"))).distinct()
+    signatures = written(representatives.select("rep", "signature").join(nodes, "rep"))
+    compared = written(agreeing(pairs, signatures))
+    agreed = compared.where(F.col("agree") >= AGREE).select("a", "b")
+    # Where some of a large meeting don't agree with its least node, all of the meeting are compared, in blocks.
+    large = met.where("bucket is not null")
+    open_ = large.join(compared.where(F.col("agree") < AGREE), ["a", "b"], "left_semi").select("bucket").distinct()
+    own = large.join(open_, "bucket", "left_semi")
+    members = written(own.select("bucket", F.col("b").alias("rep")).union(own.select("bucket", F.col("a").alias("rep")).distinct()))
+    blocks = members.groupBy("bucket").agg(F.ceil(F.count("*") / MET_BLOCK).cast("long").alias("blocks"))
+    spread = in_block_pairs(members.join(blocks, "bucket").join(signatures, "rep").withColumnRenamed("rep", "node"), "node", "bucket")
+    return agreed.unionByName(met_in_blocks(spread.select("bucket", "i", "j", "node", "signature")).distinct())
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -245,56 +303,44 @@ def similar_pairs(keys: list[np.ndarray]) -> np.ndarray:
     return like
 
 
+class Likeness:
+    """Links of rows by a matrix of links."""
+
+    def __init__(self, rows: np.ndarray):
+        self.rows = rows
+
+    def __call__(self, k, others):
+        return self.rows[k, others]
+
+
 def verified(members: DataFrame) -> DataFrame:
     """Links and spanning edges of blocks: rows (part, i, j, block, node, copies, keys) sorted by part, i and j.
 
     Out come (a, links, b): links counts the rows linked to ``a`` in one block, b is set for a spanning edge.
     """
+    schema = pa.schema([("a", pa.int64()), ("links", pa.int64()), ("b", pa.int64())])
 
     def solve(rows):
-        keys = [np.frombuffer(k, np.uint64) for k in rows["keys"]]
-        like = similar_pairs(keys)
-        block, copies, nodes = (np.array(rows[c], np.int64) for c in ("block", "copies", "node"))
+        like = similar_pairs([np.frombuffer(k, np.uint64) for k in rows["keys"].to_pylist()])
+        block, copies, nodes = (rows[c].to_numpy() for c in ("block", "copies", "node"))
         if rows["i"][0] != rows["j"][0]:
             like &= block[:, None] != block[None, :]
         links = (like * copies[None, :]).sum(axis=1)
-        out = {"a": list(nodes[links > 0]), "links": list(links[links > 0]), "b": [None] * int((links > 0).sum())}
-        left = set(np.flatnonzero(links > 0).tolist())
-        while left:  # breadth first from one node after another
-            front = [left.pop()]
-            while front:
-                k = front.pop()
-                near = [x for x in np.flatnonzero(like[k]).tolist() if x in left]
-                left.difference_update(near)
-                front += near
-                out["a"] += [nodes[k]] * len(near)
-                out["links"] += [0] * len(near)
-                out["b"] += [nodes[x] for x in near]
-        return out
-
-    schema = pa.schema([("a", pa.int64()), ("links", pa.int64()), ("b", pa.int64())])
-
-    def run(batches):
-        held, key = None, None
-        for batch in batches:
-            for row in batch.to_pylist():
-                now = (row["part"], row["i"], row["j"])
-                if now != key:
-                    if held:
-                        yield pa.RecordBatch.from_pydict(solve(held), schema=schema)
-                    held, key = {c: [] for c in row}, now
-                for c, x in row.items():
-                    held[c].append(x)
-        if held:
-            yield pa.RecordBatch.from_pydict(solve(held), schema=schema)
+        some = np.flatnonzero(links)
+        edges = np.array(connected(Likeness(like)), np.int64).reshape(-1, 2)
+        none = np.zeros(len(edges), np.int64)
+        return {
+            "a": np.concatenate([nodes[some], nodes[edges[:, 0]]]), "links": np.concatenate([links[some], none]),
+            "b": pa.array(np.concatenate([nodes[some], nodes[edges[:, 1]]]), mask=np.arange(len(some) + len(edges)) < len(some)),
+        }
 
-    return members.mapInArrow(run, "a long, links long, b long")
+    return members.mapInArrow(lambda batches: streamed_groups(batches, ["part", "i", "j"], solve, schema), "a long, links long, b long")
 
 
 def with_shingles(documents: DataFrame, members: DataFrame) -> DataFrame:
     """``members`` (node, doc_id, text_key, …) with their shingle sets, from the texts they stand for."""
-    texts = documents.select(F.col("doc_id").cast("long").alias("own_id"), F.xxhash64("text").alias("own_key"), "text")
-    found = texts.join(members.hint("shuffle_hash"), F.col("own_id").eqNullSafe(F.col("doc_id")) & (F.col("own_key") == F.col("text_key")))
+    texts = documents.select(F.col("doc_id").cast("long").alias("own_id"), F.xxhash64("text").alias("_tillcast_key"), "text")
+    found = texts.join(members.hint("shuffle_hash"), F.col("own_id").eqNullSafe(F.col("doc_id")) & (F.col("_tillcast_key") == F.col("text_key")))
 
     def step(rows):
         keys, counts = shingle_sets(rows["text"])
@@ -313,10 +359,7 @@ def links(documents: DataFrame, representatives: DataFrame) -> DataFrame:
     blocks = F.greatest(F.ceil(F.count("*") / BLOCK_TEXTS), F.ceil(F.sum("n") / BLOCK_SHINGLES))
     members = members.join(members.groupBy("part").agg(blocks.cast("long").alias("blocks")), "part")
     sets = with_shingles(documents, members.select("node", "doc_id", "text_key", "copies", "part", "blocks"))
-    block = F.pmod(F.xxhash64("node"), F.col("blocks"))
-    spread = sets.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    spread = spread.select("part", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "copies", "keys")
-    return written(verified(spread.repartition("part", "i", "j").sortWithinPartitions("part", "i", "j", "node")))
+    return written(verified(in_block_pairs(sets, "node", "part").select("part", "i", "j", "block", "node", "copies", "keys")))
 
 
 def classes(documents: DataFrame) -> DataFrame:
@@ -345,11 +388,11 @@ def classes(documents: DataFrame) -> DataFrame:
 def one_of_each(documents: DataFrame) -> DataFrame:
     """The documents without all but the least id of each class, with all their columns; of rows alike one stays."""
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("text_key").alias("key"))
-    keep = classes(documents).groupBy("label").agg(F.min(order).alias("first")).select(F.col("first.id").alias("keep_id"), F.col("first.key").alias("keep_key"))
-    kept = documents.withColumn("own_key", F.xxhash64("text")).join(
-        keep, F.col("doc_id").cast("long").eqNullSafe(F.col("keep_id")) & (F.col("own_key") == F.col("keep_key")), "left_semi"
+    keep = classes(documents).groupBy("label").agg(F.min(order).alias("first")).select(F.col("first.id").alias("_tillcast_keep_id"), F.col("first.key").alias("_tillcast_keep_key"))
+    kept = documents.withColumn("_tillcast_key", F.xxhash64("text")).join(
+        keep, F.col("doc_id").cast("long").eqNullSafe(F.col("_tillcast_keep_id")) & (F.col("_tillcast_key") == F.col("_tillcast_keep_key")), "left_semi"
     )
-    return kept.dropDuplicates(["doc_id", "own_key"]).drop("own_key")
+    return kept.dropDuplicates(["doc_id", "_tillcast_key"]).drop("_tillcast_key")
 
 
 def op10_jaccard_join(spark, folder: str) -> DataFrame:
