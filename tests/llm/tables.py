@@ -72,8 +72,8 @@ def folder(path, rows: list[dict] | None = None) -> str:
     for name in ("row", "score", "word", "label", "text_key", "held_out", "n", "bucket", "keep", "a", "domain", "quality", "trusted", "value"):
         data[name] = pa.array([name] * len(rows))
     pq.write_table(pa.table(data), f"{path}/documents.parquet")
-    ids = [r["doc_id"] for r in rows if r["doc_id"] is not None and r["doc_id"] < 110]
-    labels = [(k, int(k < 90), int(k % 30 == 7)) for k in ids] + ([(3, 1, 0), (None, 1, 0), (4, None, None)] if ids else [])
+    ids = [r["doc_id"] for r in rows if r["doc_id"] is not None and r["doc_id"] < 121]
+    labels = [(k, int(not 90 <= k < 110), int(k % 30 == 7)) for k in ids] + ([(3, 1, 0), (None, 1, 0), (4, None, None)] if ids else [])
     columns = list(zip(*labels, strict=True)) or [[], [], []]
     kinds = (pa.int64(), pa.int32(), pa.int32())
     named = {c: pa.array(list(v), t) for c, v, t in zip(("doc_id", "quality", "toxic"), columns, kinds, strict=True)}
