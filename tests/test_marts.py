@@ -95,12 +95,6 @@ def test_hourly_mart_is_the_weather_grid_of_the_sales_period(sales, weather, dim
     assert idle.measured_at == datetime(2024, 3, 2)
 
 
-def test_period_join_without_a_broadcast_gives_the_same_rows(sales, weather, dims, monkeypatch):
-    expected = sorted(map(tuple, marts.within_period(weather, marts.sales_period(sales), dims[0]).collect()), key=repr)
-    monkeypatch.setattr(marts, "is_small", lambda df: False)
-    assert sorted(map(tuple, marts.within_period(weather, marts.sales_period(sales), dims[0]).collect()), key=repr) == expected
-
-
 def test_product_mart(items, sales, dims, products):
     cities, dates = dims
     mart = marts.mart_product_sales_daily(items, sales, cities, products, dates)
@@ -113,17 +107,9 @@ def test_product_mart(items, sales, dims, products):
     assert (lost.date_key, lost.product_revenue_rub, lost.revenue_share_pct) == (None, Decimal("3.00"), None)
 
 
-def test_share_by_join_equals_share_by_window(items, sales, products, monkeypatch):
-    days = marts.product_days(marts.items_with_sales(items, sales))
-    by_window = sorted(map(tuple, marts.with_day_share(days, products).collect()), key=repr)
-    monkeypatch.setattr(marts, "is_small", lambda df, rows: False)
-    joined = marts.with_day_share(days, products).select(*days.columns, "revenue_share_pct")
-    assert sorted(map(tuple, joined.collect()), key=repr) == by_window
-
-
-def test_zero_revenue_day_has_no_share(rows, sales, products):
+def test_zero_revenue_day_has_no_share(rows, sales):
     items = rows(ITEMS, ["a", "x", 0, "0.00"])
-    row = marts.with_day_share(marts.product_days(marts.items_with_sales(items, sales)), products).first()
+    row = marts.with_day_share(marts.product_days(marts.items_with_sales(items, sales))).first()
     assert row.revenue_share_pct is None
 
 

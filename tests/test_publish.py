@@ -153,3 +153,23 @@ def test_contract_lists_are_checked(spark, tmp_path):
     file.write_text(json.dumps({"marts": [entries[0], entries[0]]}))
     with pytest.raises(ValueError, match="same target"):
         load_marts(file)
+
+
+def test_a_second_publisher_is_refused(rows, shared, spark):
+    spec = load_marts()["mart_product_sales_daily"]
+    with publish.claimed(spark, spec, shared, "801"):
+        with pytest.raises(publish.PublishError, match="another run"):
+            with publish.claimed(spark, spec, shared, "802"):
+                pass
+    with publish.claimed(spark, spec, shared, "803"):
+        pass
+
+
+def test_a_refused_version_leaves_the_last_good_one(rows, shared, spark):
+    from tillcast.sources import tables
+
+    for run, good in (("1", True), ("2", True), ("3", False), ("4", True)):
+        version = tables.write_version(rows("a int", [int(run)]), shared, "layer_versions", "t", run)
+        tables.point_to(spark, "layer_versions", "t", version) if good else tables.refuse(spark, version)
+    assert tables.versions(spark, "layer_versions", "t") == ["t__v2", "t__v4"]
+    assert spark.table("layer_versions.t").first().a == 4

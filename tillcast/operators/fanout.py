@@ -6,10 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillcast.functions import clock, keys, money
-from tillcast.operators.sizing import MAX_SMALL_ROWS, is_small
 
-# Hash slots a long city list is spread over.
-SLOTS = 64
+# Copies of the city directory that the sales are dealt over in the join.
+SALTS = 64
 
 # Published columns of the fan-out, in order.
 COLUMNS = [
@@ -26,35 +25,17 @@ def city_directory(cities: DataFrame, profiles: DataFrame) -> DataFrame:
     )
 
 
-def per_city(sales: DataFrame, directory: DataFrame, small: bool | None = None) -> DataFrame:
+def per_city(sales: DataFrame, directory: DataFrame) -> DataFrame:
     """Every sale once per directory row.
 
-    A directory of checked length becomes one array value that each sale is
-    exploded over: no join, no shuffle, and the sales keep their partitioning.
-    A longer one is spread over hash slots; each sale visits all slots and an
-    equi-join on the slot finds the cities there.
+    Each sale draws one salt and the directory is copied for every salt, so an
+    equi-join on it gives all pairs. The log isn't copied before the join: Spark
+    broadcasts a short directory, and a long one joins evenly over the salts.
+    Which salt a sale draws makes no difference to the rows.
     """
-    fields = directory.columns
-    if small is None:
-        small = is_small(directory, MAX_SMALL_ROWS)
-    if small:
-        rows = directory.agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("rows"))
-        exploded = sales.select("*", F.explode(rows.scalar()).alias("_city"))
-        return exploded.select(*sales.columns, *[F.col("_city")[name].alias(name) for name in fields])
-    slotted = directory.withColumn("_slot", F.pmod(F.xxhash64("city_slug"), F.lit(SLOTS)).cast("int"))
-    slots = F.explode(F.sequence(F.lit(0), F.lit(SLOTS - 1)))
-    return sales.select("*", slots.alias("_slot")).join(slotted, "_slot").drop("_slot")
-
-
-def spread(sales: DataFrame) -> DataFrame:
-    """Even out the log over all tasks before each row becomes many.
-
-    The log is a fraction of what the fan-out writes, so moving it is cheap next
-    to tasks that multiply uneven splits. Rows are dealt out in turn: identical
-    sales cannot pile up as they would under a hash of their content.
-    """
-    tasks = int(sales.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return sales.repartition(tasks)
+    salted = sales.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+    copies = directory.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(copies, "_salt").drop("_salt")
 
 
 def source_sale_id() -> Column:
@@ -79,7 +60,7 @@ def fan_out_sales(sales: DataFrame, cities: DataFrame, profiles: DataFrame) -> D
             "_wall": clock.wall_clock(F.col("date"), F.col("time")),
         }
     )
-    expanded = per_city(spread(base), city_directory(cities, profiles))
+    expanded = per_city(base, city_directory(cities, profiles))
     receipts = expanded.withColumns(
         {
             "synthetic_sale_id": keys.sha256_id(F.col("source_sale_id"), F.col("city_slug")),

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, TimestampNTZType, TimestampType
 
@@ -13,6 +16,10 @@ from tillcast.functions import clock
 from tillcast.sources import tables
 
 
+# Ends the name of the table that a publisher creates while it works.
+CLAIM_MARK = "__claim"
+
+
 class PublishError(ValueError):
     """The mart does not meet its contract or the copy differs from it."""
 
@@ -85,20 +92,44 @@ def clustered(df: DataFrame, spec: MartSpec) -> DataFrame:
     return df.repartitionByRange(*spec.sort_key).sortWithinPartitions(*spec.sort_key)
 
 
+@contextmanager
+def claimed(spark: SparkSession, spec: MartSpec, root: str, run_id: str) -> Iterator[None]:
+    """Hold the mart for one publisher: creating the claim is atomic and fails while another run has it.
+
+    A run that dies leaves its claim, which the error names; drop that table once the run is known to be gone.
+    """
+    tables.ensure_layer(spark, spec.layer, root)
+    claim = f"`{spec.layer}`.`{spec.table}{CLAIM_MARK}`"
+    try:
+        spark.sql(f"CREATE TABLE {claim} (run_id string) USING parquet COMMENT 'run {run_id}'")
+    except AnalysisException as error:
+        raise PublishError(f"{spec.model} is being published by another run, which holds {claim}") from error
+    try:
+        yield
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {claim}")
+
+
 def publish_mart(source: DataFrame, spec: MartSpec, root: str, run_id: str) -> dict[str, str]:
     """Publish a materialised mart and return its verified statistics as text.
 
     ``source`` must read a written table: its statistics and its rows are then
-    those of one version. Readers keep the former version until the last step.
+    those of one version. Readers keep the former version until the last step,
+    and a copy that fails is dropped. A second publisher is refused.
     """
     spark = source.sparkSession
     expected = statistics(source, spec).first().asDict()
     if expected["row_count"] == 0:
         raise PublishError(f"{spec.model} is empty and will not be published")
-    copy = clustered(to_contract(source, spec), spec)
-    version = tables.write_version(copy, root, spec.layer, spec.table, run_id)
-    actual = verification(spark.table(version), spec).first().asDict()
-    compare(expected, actual, spec)
-    tables.point_to(spark, spec.layer, spec.table, version)
+    with claimed(spark, spec, root, run_id):
+        copy = clustered(to_contract(source, spec), spec)
+        version = tables.write_version(copy, root, spec.layer, spec.table, run_id)
+        try:
+            actual = verification(spark.table(version), spec).first().asDict()
+            compare(expected, actual, spec)
+        except Exception:
+            tables.refuse(spark, version)
+            raise
+        tables.point_to(spark, spec.layer, spec.table, version)
     shown = {name: str(actual[name]) for name in ("row_count", *spec.sum_columns)}
     return {"table": f"{spec.layer}.{spec.table}", **shown}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillcast.functions import money
@@ -26,11 +26,11 @@ def revenue_share(product_mart: DataFrame, by: list[str], item: str = "product_k
     parts = product_mart.groupBy(*by, item).agg(
         F.sum("product_revenue_rub").cast(money.TOTAL).alias("product_revenue_rub")
     )
-    wholes = parts.groupBy(*by).agg(F.sum("product_revenue_rub").cast(money.TOTAL).alias("_whole"))
-    shared = parts.join(wholes, by, "left")
-    return shared.withColumn(
-        "revenue_share_pct", money.share_pct(F.col("product_revenue_rub"), F.col("_whole"))
-    ).drop("_whole")
+    whole = F.sum("product_revenue_rub").over(Window.partitionBy(*by)).cast(money.TOTAL)
+    known = F.lit(True)
+    for column in by:
+        known = known & F.col(column).isNotNull()
+    return parts.withColumn("revenue_share_pct", F.when(known, money.share_pct(F.col("product_revenue_rub"), whole)))
 
 
 def complete_days(daily_mart: DataFrame, hours: int = HOURS_PER_DAY) -> DataFrame:

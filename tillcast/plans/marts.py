@@ -6,12 +6,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillcast.functions import money
-from tillcast.operators.sizing import broadcast_if, is_small
 
 DAY = ["city_key", "date_key"]
 HOUR = ["city_key", "date_key", "hour"]
-# Rows of one city-day a window may hold; it spills beyond its memory.
-MAX_WINDOW_ROWS = 1_000_000
 
 
 def _city_names(cities: DataFrame) -> DataFrame:
@@ -39,29 +36,23 @@ def product_days(sold: DataFrame) -> DataFrame:
     )
 
 
-def with_day_share(product_day: DataFrame, products: DataFrame) -> DataFrame:
+def with_day_share(product_day: DataFrame) -> DataFrame:
     """Add the product's share in its city-day.
 
-    A city-day has at most a row per product. While the product dimension is of
-    moderate length a window adds the totals in the one pass over the receipts
-    and lines. With a longer one the totals are grouped and joined instead,
-    which computes the product days twice but can split a hot city-day.
+    A city-day has at most a row per product; a window adds the totals in the
+    one pass over the receipts and lines, and spills where they outgrow memory.
     """
     revenue = F.col("product_revenue_rub")
-    if is_small(products, MAX_WINDOW_ROWS):
-        total = F.sum(revenue).over(Window.partitionBy(*DAY)).cast(money.TOTAL)
-        known = F.col("city_key").isNotNull() & F.col("date_key").isNotNull()
-        return product_day.withColumn("revenue_share_pct", F.when(known, money.share_pct(revenue, total)))
-    totals = product_day.groupBy(*DAY).agg(F.sum(revenue).cast(money.TOTAL).alias("_city_revenue"))
-    share = money.share_pct(revenue, F.col("_city_revenue"))
-    return product_day.join(totals, DAY, "left").withColumn("revenue_share_pct", share).drop("_city_revenue")
+    total = F.sum(revenue).over(Window.partitionBy(*DAY)).cast(money.TOTAL)
+    known = F.col("city_key").isNotNull() & F.col("date_key").isNotNull()
+    return product_day.withColumn("revenue_share_pct", F.when(known, money.share_pct(revenue, total)))
 
 
 def mart_product_sales_daily(
     items: DataFrame, sales: DataFrame, cities: DataFrame, products: DataFrame, dates: DataFrame
 ) -> DataFrame:
     """Product sales per city and local day."""
-    shared = with_day_share(product_days(items_with_sales(items, sales)), products)
+    shared = with_day_share(product_days(items_with_sales(items, sales)))
     unit_price = money.ratio_2dp(F.col("product_revenue_rub"), F.col("units_sold"))
     named = (
         shared.join(_city_names(cities), "city_key", "left")
@@ -151,26 +142,17 @@ def sales_hours(sales: DataFrame) -> DataFrame:
     return hours.withColumn("average_check_rub", average).drop("_priced")
 
 
-def sales_period(sales: DataFrame) -> DataFrame:
-    """First and last day with sales of each city.
-
-    Read from the receipts: two columns and a row per city and task to shuffle
-    cost less than grouping the receipts by hour a second time.
-    """
-    return sales.groupBy("city_key").agg(
+def sales_period(hours: DataFrame) -> DataFrame:
+    """First and last day with sales of each city, from its sales hours."""
+    return hours.groupBy("city_key").agg(
         F.min("date_key").alias("first_date_key"), F.max("date_key").alias("last_date_key")
     )
 
 
-def within_period(weather: DataFrame, period: DataFrame, cities: DataFrame) -> DataFrame:
-    """Weather hours inside the sales period of their city.
-
-    The period has at most a row per city, so it is broadcast when the city
-    dimension is short; a long one is joined by a shuffle with skew splitting.
-    """
-    small = broadcast_if(period, is_small(cities))
+def within_period(weather: DataFrame, period: DataFrame) -> DataFrame:
+    """Weather hours inside the sales period of their city."""
     inside = F.col("date_key").between(F.col("first_date_key"), F.col("last_date_key"))
-    return weather.join(small, "city_key").filter(inside).drop("first_date_key", "last_date_key")
+    return weather.join(period, "city_key").filter(inside).drop("first_date_key", "last_date_key")
 
 
 def mart_sales_weather_hourly(
@@ -181,7 +163,7 @@ def mart_sales_weather_hourly(
     Hours without sales count zero and have no average check.
     """
     hours = sales_hours(sales)
-    grid = within_period(weather.drop("loaded_at"), sales_period(sales), cities)
+    grid = within_period(weather.drop("loaded_at"), sales_period(hours))
     named = (
         grid.join(hours, HOUR, "left")
         .join(_city_names(cities), "city_key", "left")

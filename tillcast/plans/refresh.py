@@ -14,12 +14,12 @@ from tillcast.operators.fanout import fan_out_sales
 from tillcast.operators.publish import publish_mart
 from tillcast.plans import checks, core, marts, raw, staging
 from tillcast.session import build_session, shared_dir
-from tillcast.sources import readers, snapshot, tables
+from tillcast.sources import jdbc, readers, snapshot, tables
 
 
 def fan_out(sales_log: DataFrame, cities: DataFrame, profiles: DataFrame, root: str, run_id: str,
             check_only: bool = False) -> DataFrame | None:
-    """Write the synthetic sales once they pass the audit.
+    """Write the synthetic sales, which must not be there yet, once they pass the audit.
 
     The candidate version is written first, so the audit reads the rows that
     will be shown instead of computing them again for each check.
@@ -29,8 +29,14 @@ def fan_out(sales_log: DataFrame, cities: DataFrame, profiles: DataFrame, root:
     if check_only:
         quality.require(quality.audit_fan_out(candidate, sales_log, cities))
         return None
+    if "synthetic_coffee_sales" in tables.table_names(spark, "raw"):
+        raise RuntimeError("raw.synthetic_coffee_sales is there already; drop it before a new fan-out")
     version = tables.write_version(candidate, root, "raw", "synthetic_coffee_sales", run_id)
-    quality.require(quality.audit_fan_out(spark.table(version), sales_log, cities))
+    try:
+        quality.require(quality.audit_fan_out(spark.table(version), sales_log, cities))
+    except Exception:
+        tables.refuse(spark, version)
+        raise
     tables.point_to(spark, "raw", "synthetic_coffee_sales", version)
     return spark.table("raw.synthetic_coffee_sales")
 
@@ -133,11 +139,20 @@ def run(args: argparse.Namespace, spark: SparkSession, now: datetime) -> list[ob
         return [raw.load_documents(landed, args.job, root, run_id)]
     if args.job == "fan-out":
         profiles = readers.read_city_profiles(spark, args.path)
-        sales, cities = spark.table("raw.kaggle_coffee"), spark.table("raw.cities")
-        fan_out(sales, cities, profiles, root, run_id, args.check_only)
+        cities = spark.table("raw.cities")
+        if not args.url:
+            fan_out(spark.table("raw.kaggle_coffee"), cities, profiles, root, run_id, args.check_only)
+            return ["fan-out passed its audit"]
+        # The log comes from a database, in ranges of its dates, and the result goes back to a new table there.
+        split = jdbc.Split("date", args.first_day, args.last_day, args.connections)
+        sales = jdbc.read_table(spark, args.url, "raw.kaggle_coffee", split)
+        done = fan_out(sales, cities, profiles, root, run_id, args.check_only)
+        if done is not None:
+            jdbc.write_table(done, args.url, "raw.synthetic_coffee_sales", args.connections)
         return ["fan-out passed its audit"]
     if args.job == "export-snapshot":
-        return snapshot.export_snapshot(read_raw(spark), args.path).collect()
+        manifest = snapshot.export_snapshot(read_raw(spark), args.path)
+        return [f"{manifest.count()} files listed in {args.path}/manifest"]
     if args.job == "restore-snapshot":
         done = snapshot.restore_snapshot(spark, args.path, root, run_id)
         return ["restored" if done else "the raw layer is already there"]
@@ -155,6 +170,10 @@ def parser() -> argparse.ArgumentParser:
     options.add_argument("job", choices=JOBS)
     options.add_argument("--path", help="file or folder the job reads, or the snapshot folder")
     options.add_argument("--check-only", action="store_true", help="audit the fan-out without writing it")
+    options.add_argument("--url", help="database that fan-out reads the sales log from and writes to")
+    options.add_argument("--first-day", help="first date of the log in the database, which splits its scan")
+    options.add_argument("--last-day", help="last date of the log in the database")
+    options.add_argument("--connections", type=int, default=2, help="connections to the database at once")
     return options
 
 

@@ -29,13 +29,13 @@ class Split:
         }
 
 
-def scan_options(url: str, table: str, split: Split | None = None, fetch_size: int = 10_000) -> dict[str, str]:
+def scan_options(url: str, table: str, split: Split, fetch_size: int = 10_000) -> dict[str, str]:
     options = {"url": url, "dbtable": table, "fetchsize": str(fetch_size)}
-    return {**options, **(split.options() if split else {})}
+    return {**options, **split.options()}
 
 
-def read_table(spark: SparkSession, url: str, table: str, split: Split | None = None, **properties: str) -> DataFrame:
-    """Table scan; with a split, each task reads one range over its own connection."""
+def read_table(spark: SparkSession, url: str, table: str, split: Split, **properties: str) -> DataFrame:
+    """Table scan; each task reads one range of the split over its own connection."""
     return spark.read.format("jdbc").options(**scan_options(url, table, split), **properties).load()
 
 

@@ -100,7 +100,7 @@ CTES = {
       case when hour(ts) < 12 then 'Morning' when hour(ts) < 17 then 'Afternoon' else 'Night' end as time_of_day,
       strftime(ts, '%a') as weekday, strftime(ts, '%b') as month_name, isodow(ts)::integer as weekdaysort,
       month(ts)::integer as monthsort, ts::date as date, strftime(ts, '%H:%M:%S.%g') as time
-    from named where event_type = 'purchase'""",
+    from named""",
     "coarse_log": """
     select event_type as cash_type, cast(k as decimal(12,2)) as money, coffee_name, ts::date as date,
       strftime(ts, '%H:00:00.000') as time from named""",
@@ -120,7 +120,7 @@ CTES = {
       cast(case when event_type <> 'error' then value end as decimal(12,5)) as precipitation_mm,
       cast(case when event_type <> 'signup' then value end as decimal(6,2)) as temperature_c,
       cast(k + 900 as decimal(8,2)) as surface_pressure_hpa, cast(k as decimal(6,2)) as apparent_temperature_c
-    from placed where event_type <> 'purchase'""",
+    from placed""",
     "weather": f"""
     select city_key, measured_at, date_key, cast(hour({local('measured_at', 'timezone')}) as integer) as hour,
       temperature_c, apparent_temperature_c, precipitation_mm, surface_pressure_hpa, loaded_at
@@ -138,13 +138,13 @@ CTES = {
             cast(cast(value as decimal(12,5)) - 1 as decimal(12,5)) as precipitation_mm,
             cast(k as decimal(8,2)) as surface_pressure_hpa,
             cast(k + 5 as decimal(6,2)) as precipitation_probability_pct, ts as loaded_at
-          from placed where event_type <> 'purchase')
+          from placed)
     left join ahead_days on date = cast({local('forecast_for', 'timezone')} as date)""",
     "hour_cells": """
     select user_id, city_slug, latitude, longitude, ts::date as day, date_trunc('hour', ts) as hour,
       max(cast(value as decimal(6,2))) as temperature, min(cast(value as decimal(12,5))) as rain, max(k) as k,
       max(ts) as newest
-    from placed where event_type <> 'purchase' group by all""",
+    from placed group by all""",
     "cells": """
     select *, max(newest) over (partition by user_id, day) as loaded_at,
       row_number() over (partition by user_id, day order by hour) as n,
@@ -165,6 +165,10 @@ CTES = {
     select o_orderkey::varchar as sale_key, city_key, {date_key('o_orderdate')} as date_key,
       hour(o_orderdate)::integer as hour, cast(o_totalprice as decimal(12,2)) as total_amount_rub
     from orders join customer on c_custkey = o_custkey join city on city_no = c_nationkey""",
+    "settled": """
+    select r.* replace (case when sale_key::bigint % 10 = 0 then total_amount_rub else s.amount end as total_amount_rub)
+    from receipts r left join (select sale_key, cast(sum(line_amount_rub) as decimal(12,2)) as amount from items group by all) s
+      using (sale_key)""",
     "sold": "select items.*, city_key, date_key from items left join receipts using (sale_key)",
     "product_days": """
     select city_key, date_key, product_key, cast(sum(quantity) as bigint) as units_sold,
@@ -216,7 +220,7 @@ CTES = {
     from grid left join sales_hours using (city_key, date_key, hour) left join city using (city_key)
     left join event_days using (date_key)""",
     "both_sides": """
-    select coalesce(s.sale_key, i.sale_key) as sale_key from receipts s
+    select coalesce(s.sale_key, i.sale_key) as sale_key from settled s
     full join (select sale_key, sum(line_amount_rub) as amount from items group by all) i using (sale_key)
     where total_amount_rub is distinct from amount""",
 }
@@ -416,26 +420,28 @@ ORACLES = {
         where sale_key not in (select sale_key from items) group by all""",
     "dq_local_date": f"""
         select sale_key from fct join city using (city_key) join event_days using (date_key)
-        where cast({local('sold_at', 'timezone')} as date) <> date or hour({local('sold_at', 'timezone')}) <> hour(sold_at)""",
+        where cast({local('sold_at', 'timezone')} as date) <> date or hour({local('sold_at', 'timezone')}) <>
+          case when cast(total_amount_rub * 100 as bigint) % 7 = 0 then hour(sold_at) else hour end""",
     "dq_marts_match": _full_mismatch(
         "hourly", f"select {_DAY_KEY}, sum(sales_count) as n, sum(total_revenue_rub) as r from hourly_mart group by all"
     )
     + " union all "
-    + _full_mismatch("daily", f"select {_DAY_KEY}, sales_count as n, total_revenue_rub as r from daily_mart"),
+    + _full_mismatch("daily", f"select {_DAY_KEY}, sales_count + (date_key % 7 = 0)::int as n, total_revenue_rub as r from daily_mart"),
     "dq_product_revenue": """
         select coalesce(p.city_key, s.city_key) as city_key, coalesce(p.date_key, s.date_key) as date_key
         from (select city_key, date_key, sum(product_revenue_rub) as r from product_mart group by all) p
-        full join (select city_key, date_key, sum(total_amount_rub) as r from receipts group by all) s
+        full join (select city_key, date_key, sum(total_amount_rub) as r from settled group by all) s
           using (city_key, date_key)
         where p.r is distinct from s.r""",
     "dq_items_receipts": "select sale_key, count(*) as n_rows from both_sides group by all",
     "dq_sales_ranges": """
         select 'sale' as source, sale_key as row_key from receipts
-        where total_amount_rub - 5000 < 0 or hour not between 0 and 23
+        where total_amount_rub - case when sale_key::bigint % 10 = 0 then 50000 else 0 end < 0 or hour not between 0 and 23
         union all
-        select 'item', sale_item_key from items
-        where quantity <= 0 or line_number <= 0 or unit_price_rub < 0 or line_amount_rub - 3000 < 0
-          or abs(line_amount_rub - 3000 - quantity * unit_price_rub) > quantity * 0.01""",
+        select 'item', sale_item_key from (
+          select *, line_amount_rub - case when sale_key::bigint % 10 = 0 then 3000 else 0 end as net from items)
+        where quantity <= 0 or line_number <= 0 or unit_price_rub < 0 or net < 0
+          or abs(net - quantity * unit_price_rub) > quantity * 0.01""",
     "dq_weather_ranges": """
         select 'archive' as source, city_key, measured_at as weather_time from weather
         where hour not between 0 and 23 or precipitation_mm < 0 or surface_pressure_hpa <= 0
@@ -445,11 +451,11 @@ ORACLES = {
           or surface_pressure_hpa <= 0 or precipitation_probability_pct not between 0 and 100""",
     "dq_failures": """
         select * from (
-          select 'unique line' as "check", count(*) as n_rows
-          from (select 1 from items group by sale_key, line_number having count(*) > 1)
-          union all select 'receipt has lines', count(distinct sale_key) from receipts
+          select 'unique line' as "check", cast(coalesce(sum(n), 0) as bigint) as n_rows
+          from (select count(*) as n from items group by sale_key, line_number having count(*) > 1)
+          union all select 'receipt has lines', count(*) from receipts
             where sale_key not in (select sale_key from items)
-          union all select 'line has receipt', count(distinct sale_key) from items
+          union all select 'line has receipt', count(*) from items
             where sale_key not in (select sale_key from receipts)
           union all select 'items match receipts', count(*) from both_sides
         ) where n_rows > 0""",

@@ -1,7 +1,7 @@
 """Model inputs derived from the given tables.
 
-nation stands for cities, purchase events for the base sales log, the other
-events for weather measurements, orders and lineitem for receipts and lines.
+nation stands for cities, events for the base sales log and for weather
+measurements, orders and lineitem for receipts and lines.
 """
 
 from __future__ import annotations
@@ -99,7 +99,7 @@ class Inputs:
     def sales_log(self) -> DataFrame:
         ts = F.col("ts")
         hour = F.hour(ts)
-        sold = self._named(self.events.filter(F.col("event_type") == "purchase"))
+        sold = self._named(self.events)
         return sold.select(
             hour.alias("hour_of_day"),
             "cash_type",
@@ -148,7 +148,7 @@ class Inputs:
     def weather_loads(self) -> DataFrame:
         """Measurements as staged loads; several loads cover the same hour."""
         ts, kind = F.col("ts"), F.col("event_type")
-        measured = self.in_city(self.events.filter(kind != "purchase"))
+        measured = self.in_city(self.events)
         return measured.select(
             "city_slug",
             F.to_date(ts).alias("period_start"),
@@ -170,7 +170,7 @@ class Inputs:
         """Each measurement as a forecast some hours ahead; some probabilities exceed 100."""
         ts = F.col("ts")
         issued = clock.hour_start(ts)
-        measured = self.in_city(self.events.filter(F.col("event_type") != "purchase"))
+        measured = self.in_city(self.events)
         return measured.select(
             "city_slug",
             issued.alias("issued_at"),
@@ -199,7 +199,7 @@ class Inputs:
     def document_hours(self) -> DataFrame:
         """Hourly cells of each user and day, at most 24 per document."""
         ts = F.col("ts")
-        placed = self.in_city(self.events.filter(F.col("event_type") != "purchase"))
+        placed = self.in_city(self.events)
         return placed.groupBy(
             "user_id", "city_no", "city_slug", F.to_date(ts).alias("day"),
             clock.hour_start(ts).alias("hour"),
@@ -286,6 +286,15 @@ class Inputs:
             F.col("o_totalprice").cast(money.AMOUNT).alias("total_amount_rub"),
         )
 
+    @cached_property
+    def settled_receipts(self) -> DataFrame:
+        """Receipts totalled from their lines, but every tenth as ordered."""
+        sums = self.order_lines.groupBy(F.col("synthetic_sale_id").alias("sale_key")).agg(
+            F.sum("amount_rub").cast(money.AMOUNT).alias("settled")
+        )
+        total = F.when(F.col("sale_key").cast("bigint") % 10 == 0, F.col("total_amount_rub")).otherwise(F.col("settled"))
+        return self.receipts.join(sums, "sale_key", "left").withColumn("total_amount_rub", total).drop("settled")
+
     @cached_property
     def order_dates(self) -> DataFrame:
         days = self.table("orders").agg(
