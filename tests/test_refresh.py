@@ -110,11 +110,20 @@ def test_load_jobs(spark, raw, shared, tmp_path, monkeypatch):
 
     assert load("001", 72, 5) == {"documents": 2, "total_hours": 77, "incomplete": 1}
     assert load("002", 72, 72, 72, stamp="2024-03-01 06:10:00") == {"documents": 3, "total_hours": 216, "incomplete": 0}
-    table = spark.table("raw_loads.weather_forecast")
+    table = raw_loads.read_documents(spark, "weather_forecast")
     assert sorted((r.city_slug, r.loaded_at.hour) for r in table.collect()) == [("c0", 6), ("c1", 6), ("c2", 6)]
     with pytest.raises(Exception, match="no hours in the document of c1"):
         load("003", 72, 0)
-    assert spark.table("raw_loads.weather_forecast").count() == 3
+    assert raw_loads.read_documents(spark, "weather_forecast").count() == 3
+
+    # The same run again replaces only its own batch; a late older document changes nothing.
+    assert load("002", 72, 72, 72, stamp="2024-03-01 06:10:00")["documents"] == 3
+    load("004", 5, stamp="2024-03-01 05:00:00")
+    before = sorted(map(tuple, raw_loads.read_documents(spark, "weather_forecast").collect()))
+    assert [r[4].hour for r in before] == [6, 6, 6] and raw_loads.batches(spark, "weather_forecast") == ["001", "002", "004"]
+    assert raw_loads.compact(spark, "weather_forecast", "005") == 3
+    assert sorted(map(tuple, raw_loads.read_documents(spark, "weather_forecast").collect())) == before
+    assert raw_loads.batches(spark, "weather_forecast") == ["005"]
 
 
 def test_jobs_are_parsed():

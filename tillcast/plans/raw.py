@@ -5,14 +5,19 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tillcast import schemas
 from tillcast.operators import loads
+from tillcast.operators.latest import latest
 from tillcast.operators.upsert import upsert
 from tillcast.sources import cities, readers, tables
 
 RAW = "raw"
+# Document tables are append-only logs, a partition for each run.
+LOG_MARK, BATCH = "__log", "batch_id"
+DOCUMENTS = ["weather_archive", "weather_forecast"]
 
 
 def existing(spark: SparkSession, name: str) -> DataFrame:
@@ -33,16 +38,72 @@ def seed_cities(spark: SparkSession, root: str, run_id: str, now: datetime) -> D
     return tables.replace_table(seeded, root, RAW, "cities", run_id)
 
 
+def log_table(name: str) -> str:
+    return f"{name}{LOG_MARK}"
+
+
+def newest(spark: SparkSession, name: str) -> DataFrame:
+    """The log of a document table resolved to the newest row of each key."""
+    log = spark.table(f"{RAW}.{log_table(name)}").withColumn("_tie", F.xxhash64("payload"))
+    ranked = latest(log, schemas.RAW_KEYS[name], ["loaded_at", BATCH, "_tie"])
+    return ranked.select(*schemas.RAW_TABLES[name].names)
+
+
+def append_batch(batch: DataFrame, name: str, root: str, run_id: str) -> None:
+    """Write a batch as its own partition of the log; the same run again replaces only that."""
+    spark, log = batch.sparkSession, log_table(name)
+    tables.ensure_layer(spark, RAW, root)
+    if log not in tables.table_names(spark, RAW):
+        empty = spark.createDataFrame([], batch.schema).withColumn(BATCH, F.lit(""))
+        empty.write.partitionBy(BATCH).format("parquet").saveAsTable(f"{RAW}.{log}")
+    # The partition is named in the statement, so no other can be overwritten.
+    view = f"{log}_batch"
+    batch.createOrReplaceTempView(view)
+    spark.sql(f"INSERT OVERWRITE TABLE `{RAW}`.`{log}` PARTITION ({BATCH} = '{run_id}') SELECT * FROM {view}")
+    spark.catalog.dropTempView(view)
+    spark.catalog.refreshTable(f"{RAW}.{log}")
+
+
 def load_documents(landed: DataFrame, name: str, root: str, run_id: str) -> dict[str, int]:
-    """Upsert landed weather documents by the key of their table; returns a summary.
+    """Append landed weather documents to the log of their table; returns a summary.
 
-    A document without any hour fails the load and leaves the table as it was.
-    For frequent small batches use ``streaming.ingest``, whose cost does not grow
-    with the table.
+    The cost is the batch's: nothing of the history is read or rewritten. The
+    table itself is the log resolved by key, as ``read_documents`` gives it.
+    A document without any hour fails the load and leaves the log as it was.
     """
     spark = landed.sparkSession
     fields: StructType = schemas.RAW_TABLES[name]
     batch = loads.reject_empty(readers.with_document(landed)).filter("hours > 0").select(*fields.names)
-    merged = upsert(existing(spark, name), batch, schemas.RAW_KEYS[name], ["loaded_at"])
-    tables.replace_table(merged, root, RAW, name, run_id)
-    return loads.load_summary(landed).first().asDict()
+    append_batch(batch, name, root, run_id)
+    written = spark.table(f"{RAW}.{log_table(name)}").filter(F.col(BATCH) == run_id)
+    return loads.load_summary(written).first().asDict()
+
+
+def batches(spark: SparkSession, name: str) -> list[str]:
+    rows = spark.sql(f"SHOW PARTITIONS `{RAW}`.`{log_table(name)}`").collect()
+    return sorted(row[0].split("=", 1)[1] for row in rows)
+
+
+def compact(spark: SparkSession, name: str, run_id: str) -> int:
+    """Replace all batches of a log by one of the rows that count; returns its former number of batches.
+
+    The new batch is written before the old ones go. Readers in between see the
+    same rows, since a row and its copy resolve to one.
+    """
+    old = [b for b in batches(spark, name) if b != run_id]
+    rows = newest(spark, name).withColumn(BATCH, F.lit(run_id))
+    rows.write.mode("append").insertInto(f"{RAW}.{log_table(name)}")
+    for batch in old:
+        spark.sql(f"ALTER TABLE `{RAW}`.`{log_table(name)}` DROP IF EXISTS PARTITION ({BATCH} = '{batch}')")
+    spark.catalog.refreshTable(f"{RAW}.{log_table(name)}")
+    return len(old)
+
+
+def read_documents(spark: SparkSession, name: str) -> DataFrame:
+    """A document table: its resolved log, over what a snapshot restored, if any."""
+    names = tables.table_names(spark, RAW)
+    if log_table(name) not in names:
+        return spark.table(f"{RAW}.{name}")
+    if name not in names:
+        return newest(spark, name)
+    return upsert(spark.table(f"{RAW}.{name}"), newest(spark, name), schemas.RAW_KEYS[name])

@@ -117,10 +117,12 @@ def refresh(inputs: dict[str, DataFrame], root: str, run_id: str, today: date) -
 
 
 def read_raw(spark: SparkSession) -> dict[str, DataFrame]:
-    missing = tables.missing_tables(spark, "raw", list(schemas.RAW_TABLES))
+    """All raw tables; document tables are read from the logs that the load jobs append to."""
+    logged = [name for name in raw.DOCUMENTS if raw.log_table(name) in tables.table_names(spark, "raw")]
+    missing = tables.missing_tables(spark, "raw", [name for name in schemas.RAW_TABLES if name not in logged])
     if missing:
         raise RuntimeError(f"raw tables are missing: {missing}")
-    return {name: spark.table(f"raw.{name}") for name in schemas.RAW_TABLES}
+    return {name: raw.read_documents(spark, name) if name in logged else spark.table(f"raw.{name}") for name in schemas.RAW_TABLES}
 
 
 def new_run_id(now: datetime) -> str:
@@ -137,6 +139,9 @@ def run(args: argparse.Namespace, spark: SparkSession, now: datetime) -> list[ob
     if args.job in ("weather_archive", "weather_forecast"):
         landed = readers.read_documents(spark, args.path, schemas.RAW_TABLES[args.job])
         return [raw.load_documents(landed, args.job, root, run_id)]
+    if args.job == "compact":
+        logs = [name for name in raw.DOCUMENTS if raw.log_table(name) in tables.table_names(spark, "raw")]
+        return [f"{name}: {raw.compact(spark, name, run_id)} batches made one" for name in logs]
     if args.job == "fan-out":
         profiles = readers.read_city_profiles(spark, args.path)
         cities = spark.table("raw.cities")
@@ -160,7 +165,7 @@ def run(args: argparse.Namespace, spark: SparkSession, now: datetime) -> list[ob
 
 
 JOBS = [
-    "load-sales", "seed-cities", "weather_archive", "weather_forecast", "fan-out", "refresh",
+    "load-sales", "seed-cities", "weather_archive", "weather_forecast", "compact", "fan-out", "refresh",
     "export-snapshot", "restore-snapshot",
 ]
 
