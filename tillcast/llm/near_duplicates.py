@@ -196,18 +196,18 @@ def agreeing(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "one", "two").mapInArrow(run, "a long, b long, agree double")
 
 
-def connected(like) -> list[tuple[int, int]]:
-    """Spanning edges of 0 … n-1; ``like(k, others)`` marks those of the others that k is linked to."""
+def connected(like) -> np.ndarray:
+    """(least, other) for all others of 0 … n-1 that are linked, directly or not, to a least one."""
     left, edges = np.arange(len(like.rows)), []
     while len(left):
-        front, left = [left[0]], left[1:]
+        least, left = left[0], left[1:]
+        front = [least]
         while front and len(left):
-            k = front.pop()
-            near = like(k, left)
-            edges += [(k, x) for x in left[near]]
+            near = like(front.pop(), left)
+            edges += [(least, x) for x in left[near]]
             front += left[near].tolist()
             left = left[~near]
-    return edges
+    return np.array(edges, np.int64).reshape(-1, 2)
 
 
 class Agreement:
@@ -221,12 +221,15 @@ class Agreement:
 
 
 def met_in_blocks(members: DataFrame) -> DataFrame:
-    """Edges (a, b) that span what agrees in each block of a meeting: rows (bucket, i, j, node, signature), sorted."""
+    """Edges (a, b) from the least node of what agrees in a block of a meeting: rows (bucket, i, j, node, signature), sorted.
+
+    Trees that find the same group give the same edges, so few distinct ones are left.
+    """
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def solve(rows):
         nodes = rows["node"].to_numpy()
-        edges = np.array(connected(Agreement(rows["signature"].to_pylist())), np.int64).reshape(-1, 2)
+        edges = connected(Agreement(rows["signature"].to_pylist()))
         return {"a": nodes[edges[:, 0]], "b": nodes[edges[:, 1]]}
 
     return members.mapInArrow(lambda batches: streamed_groups(batches, ["bucket", "i", "j"], solve, schema), "a long, b long")
@@ -327,7 +330,7 @@ def verified(members: DataFrame) -> DataFrame:
             like &= block[:, None] != block[None, :]
         links = (like * copies[None, :]).sum(axis=1)
         some = np.flatnonzero(links)
-        edges = np.array(connected(Likeness(like)), np.int64).reshape(-1, 2)
+        edges = connected(Likeness(like))
         none = np.zeros(len(edges), np.int64)
         return {
             "a": np.concatenate([nodes[some], nodes[edges[:, 0]]]), "links": np.concatenate([links[some], none]),
