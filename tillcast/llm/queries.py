@@ -46,4 +46,71 @@ select doc_id, count(*) as n_lines, count(*) filter (where not kept) as n_droppe
 from judged group by doc_id
 """
 
-QUERIES_SQL: dict[str, str] = {"op6_line_dedup": LINE_DEDUP_SQL}
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+DECONTAMINATE_SQL = rf"""
+with docs as (
+    select doc_id, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents
+), items as (
+    select item_id, w, least(10, len(w)) as n
+    from (select item_id, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark) where len(w) > 0
+), item_windows as (
+    select distinct item_id, n, array_to_string(w[k : k + n - 1], ' ') as win
+    from (select item_id, w, n, unnest(range(1, len(w) - n + 2)) as k from items)
+), doc_windows as (
+    select doc_id, n, k, array_to_string(w[k : k + n - 1], ' ') as win
+    from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as k from docs, (select distinct n from items))
+), found as materialized (
+    select doc_id, d.n, k, item_id from doc_windows d join item_windows i on d.n = i.n and d.win = i.win
+), hit as (
+    select doc_id, count(distinct word) as n_hit from (select doc_id, unnest(range(k, k + n)) as word from found) group by doc_id
+), listed as (
+    select doc_id, count(*) as n_items, string_agg(id, ',' order by id) as ids
+    from (select distinct doc_id, item_id::varchar as id from found) group by doc_id
+), chained as (
+    -- Windows that follow each other both in the document and in an item are one match.
+    select doc_id, max(n) as longest from (
+        select doc_id, item_id, k - j as diagonal, k - rank as run, count(*) + any_value(n) - 1 as n from (
+            select f.doc_id, f.item_id, f.n, f.k, p.j, row_number() over (partition by f.doc_id, f.item_id, f.k - p.j order by f.k) as rank
+            from found f
+            join doc_windows d using (doc_id, n, k)
+            join (select item_id, n, j, array_to_string(w[j : j + n - 1], ' ') as win
+                  from (select item_id, w, n, unnest(range(1, len(w) - n + 2)) as j from items)) p
+              on p.item_id = f.item_id and p.n = f.n and p.win = d.win)
+        group by all)
+    group by doc_id
+)
+select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+    sha256(coalesce(ids, '')) as items_sha256, n_hit is not null as contaminated, cast(coalesce(longest, 0) as bigint) as longest
+from docs left join hit using (doc_id) left join listed using (doc_id) left join chained using (doc_id)
+"""
+
+JACCARD_SQL = rf"""
+with recursive words as (
+    select doc_id, regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+') as w from documents
+), shingles as materialized (
+    select distinct doc_id, array_to_string(w[k : k + 4], ' ') as s
+    from (select doc_id, w, unnest(range(1, greatest(2, len(w) - 3))) as k from words where len(w) > 0)
+), sizes as (
+    select doc_id, count(*) as n from shingles group by doc_id
+), links as materialized (
+    select a, b from (
+        select x.doc_id as a, y.doc_id as b, count(*) as both_have
+        from shingles x join shingles y on x.s = y.s and x.doc_id <> y.doc_id group by all)
+    join sizes p on p.doc_id = a join sizes q on q.doc_id = b
+    where 100 * both_have >= 80 * (p.n + q.n - both_have)
+), reach as (
+    select doc_id as a, doc_id as b from documents
+    union
+    select r.a, l.b from reach r join links l on l.a = r.b
+)
+select doc_id, class_id, coalesce(n_links, 0) as n_links
+from (select a as doc_id, min(b) as class_id from reach group by a)
+left join (select a as doc_id, count(*) as n_links from links group by a) using (doc_id)
+"""
+
+QUERIES_SQL: dict[str, str] = {
+    "op6_line_dedup": LINE_DEDUP_SQL,
+    "op7_decontaminate": DECONTAMINATE_SQL,
+    "op10_jaccard_join": JACCARD_SQL,
+}
