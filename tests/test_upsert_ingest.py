@@ -77,7 +77,7 @@ def test_window_filter_reaches_the_scan(spark, rows, shared):
     part = readers.in_window(df, df["d"], date(2024, 1, 1), date(2024, 1, 31))
     assert [r.v for r in part.collect()] == [1]
     plan = part._jdf.queryExecution().executedPlan().toString()
-    assert "GreaterThanOrEqual(d," in plan and "LessThanOrEqual(d," in plan
+    assert "GreaterThanOrEqual(d,2024-01-01)" in plan and "LessThan(d,2024-02-01)" in plan
 
 
 def land(folder, name, *records):

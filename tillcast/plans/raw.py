@@ -44,8 +44,7 @@ def log_table(name: str) -> str:
 
 def newest(spark: SparkSession, name: str) -> DataFrame:
     """The log of a document table resolved to the newest row of each key."""
-    log = spark.table(f"{RAW}.{log_table(name)}").withColumn("_tie", F.xxhash64("payload"))
-    ranked = latest(log, schemas.RAW_KEYS[name], ["loaded_at", BATCH, "_tie"])
+    ranked = latest(spark.table(f"{RAW}.{log_table(name)}"), schemas.RAW_KEYS[name], ["loaded_at", BATCH])
     return ranked.select(*schemas.RAW_TABLES[name].names)
 
 

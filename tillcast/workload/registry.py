@@ -458,7 +458,9 @@ def city_list(i: Inputs) -> DataFrame:
 @query
 def archive_window(i: Inputs) -> DataFrame:
     start, end = resolve_window(ANCHOR, start=date(2024, 1, 10))
-    return readers.in_window(i.fct_weather, F.to_date("measured_at"), start, end)
+    # A load's instant lies in the hour it measures, so the window can be cut before loads are resolved.
+    loads_in = readers.in_window(i.weather_loads, F.col("loaded_at"), start, end)
+    return core.fct_weather_hour(loads_in, i.dim_city, i.event_dates)
 
 
 @query
