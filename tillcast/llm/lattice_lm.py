@@ -28,7 +28,7 @@ from tillcast.llm.common import MIX, encode, fold, map_slices, owners, table, wr
 
 #: The tokenizer's model file, passes of re-estimation, and what is added to each expected count.
 VOCABULARY, PASSES, SMOOTHING = "/opt/tokenizers/piece_bpe_32k.model", 3, 0.1
-#: Most frequent words sent to each task; distinct words that a task counts before handing over.
+#: Most of the frequent words that are sent to each task; distinct words that a task counts before handing over.
 HEAD, FLUSH = 1 << 17, 400_000
 #: Words of more bytes are scored one by one.
 LONG = 48
@@ -258,11 +258,27 @@ def with_scores(words: DataFrame, names: list[bytes], logs: np.ndarray) -> DataF
     return written(map_slices(words.select("word", "uses", "c"), make, "word binary, uses long, c long, score double", text=""))
 
 
+def most_used(words: DataFrame, most: int) -> DataFrame:
+    """Words used often enough that there are ``most`` of them at the utmost.
+
+    Uses are binned on a log scale; the histogram, a few hundred rows, tells from which bin on the words fit.
+    Nothing is sorted, and no task or driver gets more than ``most`` rows.
+    """
+    binned = words.withColumn("bin", F.floor(8 * F.log2(F.col("uses").cast("double"))).cast("int"))
+    least, held = None, 0
+    for row in sorted(binned.groupBy("bin").agg(F.count("*").alias("n")).collect(), reverse=True):
+        held += row["n"]
+        if held > most:
+            break
+        least = row["bin"]
+    return words.where(F.lit(False)) if least is None else binned.where(F.col("bin") >= least).drop("bin")
+
+
 def score(documents: DataFrame, words: DataFrame, tokens: int, kinds: int, ends: int, end: float, head: int = HEAD) -> DataFrame:
     """Scores of every document; ``words`` has each distinct word's count and score."""
     spark = documents.sparkSession
     base = lambda c: np.log10((c + 0.1) / (tokens + 0.1 * (kinds + 1)))
-    first = words.orderBy(F.desc("uses"), "word").limit(head).collect()
+    first = most_used(words, head).collect()
     held = spark.sparkContext.broadcast(([bytes(r["word"]) for r in first], np.array([r["c"] for r in first], np.int64), np.array([r["score"] for r in first])))
     end_base, end_known = float(base(ends)), int(ends > 0)
 
