@@ -6,7 +6,7 @@ rank differences, an n-gram that the profile lacks counting as the longest profi
 first by name among equals. The score is 1 minus the distance over the greatest possible distance.
 
 A null text, or one without a letter, is ``und`` with score 0; so is every text if nothing could be learned. Training
-rows need a text and a language. Repeated rows give repeated rows; an empty table gives no rows.
+rows need a text and a language. A null id learns. Repeated rows give repeated rows; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -153,5 +153,6 @@ def predict(documents: DataFrame, profiles: dict[str, np.ndarray], ranks: int =
 
 
 def op9_language_id(spark, folder: str) -> DataFrame:
-    documents = table(spark, folder, "documents").select("doc_id", "text", "lang", (fold("doc_id", 3) == 1).alias("held_out"))
+    held_out = F.coalesce(fold("doc_id", 3) == 1, F.lit(False))
+    documents = table(spark, folder, "documents").select("doc_id", "text", "lang", held_out.alias("held_out"))
     return predict(documents, fit(documents.where("not held_out")))

@@ -6,7 +6,7 @@ trained together by stochastic gradient descent in numpy, one document a step, o
 documents whose n-grams are counted by Spark. Scoring covers every document whole.
 
 A null or empty text has the zero vector and gets the layer's bias alone. Without a labelled document every score is
-0.5. Repeated rows give repeated rows; an id labelled twice counts as good if any label is.
+0.5. Repeated rows give repeated rows; an id labelled twice counts as good if any label is. A null id isn't held out.
 """
 
 from __future__ import annotations
@@ -154,6 +154,7 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
 
 
 def op1_quality_classifier(spark, folder: str) -> DataFrame:
-    documents = table(spark, folder, "documents").select("doc_id", "text", (fold("doc_id", 5) == 0).alias("held_out"))
+    held_out = F.coalesce(fold("doc_id", 5) == 0, F.lit(False))
+    documents = table(spark, folder, "documents").select("doc_id", "text", held_out.alias("held_out"))
     labels = table(spark, folder, "labels").where(fold("doc_id", 5) != 0)
     return score(documents, fit(documents, labels))
