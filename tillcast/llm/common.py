@@ -39,7 +39,6 @@ def shared_folder(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
-        spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
