@@ -35,5 +35,4 @@ def shared_dir(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
-        spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
