@@ -42,7 +42,7 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, *buckets: str) -> DataFrame:
+def written(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read back: lineage ends at files that outlive executors."""
     path = shared_folder(df.sparkSession)
     df.write.parquet(path)

@@ -52,12 +52,8 @@ def gram_counts(texts: list, is_letter: np.ndarray) -> tuple[np.ndarray, np.ndar
         gram = (gram[: len(text) - n + 1] << np.uint64(21)) | text[n - 1 :]
         first, last = text[: len(gram)], text[n - 1 :]
         good = (of[: len(gram)] == of[n - 1 :]) & ((first != 0) | (last != 0))
-        if n == 1:
-            good = first != 0
         for k in range(1, n - 1):
             good &= text[k : k + len(gram)] != 0
-        if n == 2:
-            good &= (first != 0) | (last != 0)
         keys.append((of[: len(gram)][good] << GRAM_BITS) | ((gram[good] + np.uint64(n)) * MIX >> (np.uint64(64) - GRAM_BITS)))
     both, counts = np.unique(np.concatenate(keys), return_counts=True)
     return (both >> GRAM_BITS).astype(np.int64), (both & ((np.uint64(1) << GRAM_BITS) - np.uint64(1))).astype(np.int64), counts
