@@ -12,7 +12,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import corpus_pipeline  # noqa: E402
 import tables as T  # noqa: E402
-from tillcast.llm import quality_rules  # noqa: E402
+from tillcast.llm import quality_rules, secrets  # noqa: E402
 
 
 @pytest.fixture(scope="module")
@@ -54,3 +54,13 @@ def test_copied_documents_pass_the_rules(spark, edges):
         if name == "near_duplicates":
             break
     assert [r["doc_id"] for r in docs.collect() if r["text"] == T.prose(38)] == [38]
+
+
+def test_secrets_of_many_repositories_are_examples(spark):
+    copied, live, mixed = "token=Abcdefgh12345678copy", "token=Abcdefgh12345678live", "zZ9" * 10
+    data = [(k, f"{copied} and {mixed}", "hot") for k in range(50)] + [(100 + k, live, "hot") for k in range(3)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string")
+    found = {r["doc_id"]: r for r in secrets.scan_secrets(docs, F.col("doc_id"), F.col("source")).collect()}
+    assert all((found[k]["n_live"], found[k]["n_example"]) == (0, 1) for k in range(50))
+    assert all(found[k]["spans"] == f"assign:0:{len(copied)}" for k in range(50))
+    assert all((found[100 + k]["n_live"], found[100 + k]["n_example"]) == (1, 0) for k in range(3))

@@ -2,7 +2,8 @@
 
 Patterns find assignments, access keys and hex strings, and, beyond these, long mixed tokens. Each candidate's value is
 hashed; over the whole corpus the distinct repositories and owners of a hash are counted. A value that many owners hold
-is a copied example; one that a single owner holds looks live. Base spans are reported whatever their owners; a mixed
+is a copied example, and so is one in many repositories, be it of a single owner; one that a single owner holds in a few
+repositories looks live. Base spans are reported whatever their owners; a mixed
 token joins the spans only if it looks live and meets no base span.
 
 Everything is DataFrame functions. Places come from the lengths of the text between matches, summed over a document.
@@ -30,6 +31,8 @@ BASE = len(KINDS)
 MIXED = ("mixed", r"(?<![A-Za-z0-9_+/-])[A-Za-z0-9_+/-]{24,}+", 0, 24)
 #: Owners from which on a value is a copied example.
 WIDE = 3
+#: Repositories from which on it is one, whoever owns them; an owner's own credential is in a few.
+MANY = 10
 
 
 def matches(text: Column, rank: int, pattern: str, group: int, least: int) -> Column:
@@ -78,18 +81,21 @@ def ownership(found: DataFrame) -> DataFrame:
     return repositories.join(owners, "value")
 
 
-def judged(found: DataFrame, wide: int = WIDE) -> DataFrame:
-    """Candidates with their value's counts and verdict: live (one owner), example (``wide`` owners or more) or shared."""
-    verdict = F.when(F.col("n_owners") >= wide, "example").when(F.col("n_owners") == 1, "live").otherwise("shared")
+def judged(found: DataFrame, wide: int = WIDE, many: int = MANY) -> DataFrame:
+    """Candidates with their value's counts and verdict.
+
+    An example has ``wide`` owners or ``many`` repositories or more; of the others one owner's are live, the rest shared.
+    """
+    verdict = F.when((F.col("n_owners") >= wide) | (F.col("n_repositories") >= many), "example").when(F.col("n_owners") == 1, "live").otherwise("shared")
     return found.join(ownership(found), "value").withColumn("verdict", verdict)
 
 
-def scan_secrets(documents: DataFrame, repository: Column, owner: Column, wide: int = WIDE) -> DataFrame:
+def scan_secrets(documents: DataFrame, repository: Column, owner: Column, wide: int = WIDE, many: int = MANY) -> DataFrame:
     """Per document: base counts and digest, all spans, and candidates by verdict."""
     scanned = scan(documents, repository, owner)
     found = written(candidates(scanned))
     span = F.struct("start", "kind", "end", "verdict")
-    spans = judged(found, wide).groupBy("row").agg(F.sort_array(F.collect_list(span)).alias("all"))
+    spans = judged(found, wide, many).groupBy("row").agg(F.sort_array(F.collect_list(span)).alias("all"))
     none = F.array().cast("array<struct<start:bigint,kind:int,end:bigint,verdict:string>>")
     rows = scanned.select("row", "doc_id").join(spans, "row", "left").withColumn("all", F.coalesce("all", none))
     rows = rows.withColumn("base", F.filter("all", lambda s: s["kind"] < BASE))
