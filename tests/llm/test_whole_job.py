@@ -4,6 +4,7 @@ import random
 import sys
 from pathlib import Path
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,7 +13,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import corpus_pipeline  # noqa: E402
 import tables as T  # noqa: E402
-from tillcast.llm import quality_rules, secrets  # noqa: E402
+from tillcast.llm import lattice_lm, quality_rules, secrets  # noqa: E402
 
 
 @pytest.fixture(scope="module")
@@ -64,3 +65,12 @@ def test_secrets_of_many_repositories_are_examples(spark):
     assert all((found[k]["n_live"], found[k]["n_example"]) == (0, 1) for k in range(50))
     assert all(found[k]["spans"] == f"assign:0:{len(copied)}" for k in range(50))
     assert all((found[100 + k]["n_live"], found[100 + k]["n_example"]) == (1, 0) for k in range(3))
+
+
+def test_long_words_give_expected_counts(monkeypatch):
+    names = [b" ", b"a", b"b", b"ab", b"ba", b" a"]
+    lattice = lattice_lm.Lattice(names, np.log(np.array([0.2, 0.2, 0.2, 0.15, 0.15, 0.1])))
+    words, counts = [b"abba" * 15, b"ab"], np.array([3, 2])
+    long = lattice.expected(words, counts), lattice.scores(words)
+    monkeypatch.setattr(lattice_lm, "LONG", 100)
+    assert long[0] == pytest.approx(lattice.expected(words, counts), rel=1e-9) and long[1] == pytest.approx(lattice.scores(words), rel=1e-9)

@@ -130,18 +130,20 @@ class Lattice:
             ahead[end, some] = np.logaddexp(ahead[end, some], ahead[start, some] + self.logs[ids])
         return ahead
 
-    def long_score(self, word: bytes) -> float:
-        """The same sum for one long word."""
-        ahead, top = [0.0], self.sizes[-1]
+    def long_forward(self, word: bytes) -> tuple[list[float], list[list[tuple[int, int]]]]:
+        """For one long word, the sums up to each end, and (start, piece id) of the pieces that end there."""
+        ahead, arcs, top = [0.0], [[]], self.sizes[-1]
         for end in range(1, len(word) + 1):
-            parts = []
-            for start in range(max(0, end - top), end):
-                k = self.ids.get(word[start:end])
-                if k is not None:
-                    parts.append(ahead[start] + self.logs[k])
+            known = ((start, self.ids.get(word[start:end])) for start in range(max(0, end - top), end))
+            arcs.append([(start, k) for start, k in known if k is not None])
+            parts = [ahead[start] + self.logs[k] for start, k in arcs[end]]
             most = max(parts)
             ahead.append(most + math.log(sum(math.exp(p - most) for p in parts)))
-        return ahead[-1]
+        return ahead, arcs
+
+    def long_score(self, word: bytes) -> float:
+        """The same sum for one long word."""
+        return self.long_forward(word)[0][-1]
 
     def scores(self, words: list[bytes]) -> np.ndarray:
         """Log probability of each word, led by a blank."""
@@ -159,12 +161,12 @@ class Lattice:
         return out
 
     def expected(self, words: list[bytes], counts: np.ndarray) -> np.ndarray:
-        """Expected uses of each piece in the words, each word as often as it is counted; long words in their likeliest cut."""
+        """Expected uses of each piece in the words, each word as often as it is counted."""
         out = np.zeros(len(self.logs))
         led = [b" " + w for w in words]
         lengths = np.array([len(w) for w in led], np.int64)
         for k in np.flatnonzero(lengths > LONG):
-            self.likeliest(led[k], counts[k], out)
+            self.long_expected(led[k], counts[k], out)
         order = np.flatnonzero(lengths <= LONG)
         order = order[np.argsort(-lengths[order], kind="stable")]
         if len(order):
@@ -182,16 +184,16 @@ class Lattice:
             out += np.bincount(np.concatenate([a[3] for a in reversed(arcs)]), np.concatenate(uses), minlength=len(out))
         return out
 
-    def likeliest(self, word: bytes, count: float, out: np.ndarray) -> None:
-        best, top = [(0.0, 0, -1)], self.sizes[-1]
-        for end in range(1, len(word) + 1):
-            known = ((self.ids.get(word[start:end]), start) for start in range(max(0, end - top), end))
-            best.append(max((best[start][0] + self.logs[k], start, k) for k, start in known if k is not None))
-        end = len(word)
-        while end:
-            _, start, k = best[end]
-            out[k] += count
-            end = start
+    def long_expected(self, word: bytes, count: float, out: np.ndarray) -> None:
+        """Adds the expected uses of each piece in one long word."""
+        ahead, arcs = self.long_forward(word)
+        back = [-math.inf] * len(word) + [0.0]
+        for end in range(len(word), 0, -1):
+            for start, k in arcs[end]:
+                step = back[end] + self.logs[k]
+                out[k] += count * math.exp(ahead[start] + step - ahead[-1])
+                most = max(back[start], step)
+                back[start] = most + math.log(math.exp(back[start] - most) + math.exp(step - most)) if most > -math.inf else most
 
 
 class WordCounts:
