@@ -13,7 +13,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import corpus_pipeline  # noqa: E402
 import tables as T  # noqa: E402
-from tillcast.llm import lattice_lm, quality_rules, secrets  # noqa: E402
+from tillcast.llm import lattice_lm, personal_data, quality_rules, secrets  # noqa: E402
 
 
 @pytest.fixture(scope="module")
@@ -74,3 +74,8 @@ def test_long_words_give_expected_counts(monkeypatch):
     long = lattice.expected(words, counts), lattice.scores(words)
     monkeypatch.setattr(lattice_lm, "LONG", 100)
     assert long[0] == pytest.approx(lattice.expected(words, counts), rel=1e-9) and long[1] == pytest.approx(lattice.scores(words), rel=1e-9)
+
+
+def test_shape_features_read_whole_words():
+    features = lambda word: personal_data.shape_features(personal_data.shapes(word)[0])
+    assert features("a" * 80 + "@examplehost") == features("ab@examplehost") != features("a" * 80)

@@ -143,7 +143,7 @@ def labelled_table(spark: SparkSession) -> DataFrame:
 
 def shape_features(shape: bytes) -> list[int]:
     """Hashed features of a word's shape: its runs, their lengths if of digits, ends and marks."""
-    runs = [(c, len(list(g))) for c, g in groupby(shape[:64].decode("latin-1"))]
+    runs = [(c, len(list(g))) for c, g in groupby(shape.decode("latin-1"))]
     flat = "".join(c for c, _ in runs)
     numbers = [min(n, 21) for c, n in runs if c == "d"]
     names = ["bias", f"flat {flat[:12]}", f"head {flat[:2]}", f"tail {flat[-2:]}", f"numbers {numbers[:6]}", f"digits {min(sum(numbers), 21)}", f"groups {min(len(numbers), 6)}"]
