@@ -13,7 +13,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import corpus_pipeline  # noqa: E402
 import tables as T  # noqa: E402
-from tillcast.llm import lattice_lm, personal_data, quality_rules, secrets  # noqa: E402
+from tillcast.llm import lattice_lm, mixing, personal_data, quality_rules, secrets  # noqa: E402
 
 
 @pytest.fixture(scope="module")
@@ -79,3 +79,13 @@ def test_long_words_give_expected_counts(monkeypatch):
 def test_shape_features_read_whole_words():
     features = lambda word: personal_data.shape_features(personal_data.shapes(word)[0])
     assert features("a" * 80 + "@examplehost") == features("ab@examplehost") != features("a" * 80)
+
+
+def test_mixing_meets_targets_far_above_a_share(spark):
+    text = lambda k, name: " ".join(f"{name}{(k + j) % 20}" for j in range(200))
+    data = [(k, text(k, "calm"), "good") for k in range(400)] + [(1000 + k, text(k, "rude"), "toxic") for k in range(10)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, domain string")
+    found = mixing.mix(docs.select("doc_id", "text"), docs.select("doc_id", "domain"), {"good": 0.4, "toxic": 0.6}).collect()
+    tokens = sum(r["n_tokens"] for r in found)
+    assert sum(r["rate"] * r["n_tokens"] * r["p_toxic"] for r in found) / tokens == pytest.approx(0.6, rel=1e-4)
+    assert max(r["rate"] for r in found) > 20 and min(r["rate"] for r in found) >= 0

@@ -12,11 +12,15 @@ square root of a document's length, as word counts are far from independent.
 
 A null or empty text has no tokens: prior probabilities, a rate like others, no weight in the sums. Repeated rows each
 count. Labels outside the targets are ignored; a domain without labelled rows is as likely as
-its prior. An empty table gives no rows. Targets need not be reachable within MOST: rates then end at the nearest point.
+its prior. An empty table gives no rows. Targets need not be reachable: rates then end near the nearest point, and the
+gap that remains is logged. A greatest rate can be set and is off by default.
 """
 
 from __future__ import annotations
 
+import logging
+import math
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,10 +30,12 @@ from tillcast.llm.common import table, written
 #: Hash buckets of words, which is what is broadcast; most labelled rows of the classifier; words of all domains
 #: together that each domain's counts are smoothed with.
 BUCKETS, LABELLED_ROWS, SMOOTHING = 1 << 15, 20_000, 1000.0
-#: The fit ends at this gap to the targets, as a share of all tokens, or when a step changes the gap by less, or after STEPS.
-GAP, STEPS = 1e-9, 40
-#: Greatest rate: a document repeats no oftener, however scarce its domain.
-MOST = 10.0
+#: The fit ends at this gap to the targets, as a share of all tokens, or when a step moves the mean rate of a token by
+#: less than MOVED. Rates are written after each STEPS steps. Directions of the Gram matrix below FLAT of its largest,
+#: in which domains are not told apart, are left out.
+GAP, MOVED, STEPS, FLAT = 1e-9, 1e-6, 40, 1e-9
+#: Greatest rate: none by default.
+MOST = math.inf
 #: Shares of tokens aimed at.
 TARGETS = {"good": 0.9, "poor": 0.07, "toxic": 0.03}
 
@@ -82,48 +88,52 @@ def memberships(documents: DataFrame, weights: DataFrame, priors: list[float]) -
     return parts.select("doc_id", "row", "n_tokens", *[(F.col(f"e{k}") / total).alias(f"p{k}") for k in range(n)])
 
 
-def rate(steps: list[np.ndarray], n: int) -> Column:
-    """The rate of a document after the steps: from 1, down along its probabilities, kept between 0 and MOST."""
+def rate(steps: list[np.ndarray], n: int, most: float = MOST) -> Column:
+    """The rate of a document after the steps: from its ``rate``, down along its probabilities, kept between 0 and ``most``."""
     if not steps:
-        return F.lit(1.0)
+        return F.col("rate")
     history = F.array(*[F.array(*[F.lit(float(x)) for x in g]) for g in steps])
     dot = lambda g: sum((F.get(g, F.lit(k)) * F.col(f"p{k}") for k in range(1, n)), F.get(g, F.lit(0)) * F.col("p0"))
-    return F.aggregate(history, F.lit(1.0), lambda r, g: F.least(F.lit(MOST), F.greatest(F.lit(0.0), r - dot(g))))
+    return F.aggregate(history, F.col("rate"), lambda r, g: F.least(F.lit(most), F.greatest(F.lit(0.0), r - dot(g))))
 
 
-def fit_rates(members: DataFrame, shares: list[float]) -> Column:
-    """The rates as an expression of the probabilities, expected tokens by domain matching ``shares`` of all tokens."""
+def fit_rates(members: DataFrame, shares: list[float], most: float = MOST) -> DataFrame:
+    """The members with their ``rate``, expected tokens by domain matching ``shares`` of all tokens."""
     n = len(shares)
     pairs = [(a, b) for a in range(n) for b in range(a, n)]
     tokens = F.col("n_tokens").cast("double")
     sums = members.agg(F.sum(tokens), *[F.sum(tokens * F.col(f"p{a}") * F.col(f"p{b}")) for a, b in pairs]).first()
-    total = sums[0] or 0.0
+    members, total = members.withColumn("rate", F.lit(1.0)), sums[0] or 0.0
     if not total:
-        return F.lit(1.0)
+        return members
     gram = np.zeros((n, n))
     for (a, b), x in zip(pairs, sums[1:], strict=True):
         gram[a, b] = gram[b, a] = x
     target = total * np.array(shares) / sum(shares)
-    inverse = np.linalg.pinv(gram + np.eye(n) * 1e-9 * np.trace(gram))
+    inverse = np.linalg.pinv(gram, rcond=FLAT, hermitian=True)
     steps: list[np.ndarray] = []
-    last = np.full(n, np.inf)
-    for _ in range(STEPS):
-        held = members.agg(*[F.sum(rate(steps, n) * tokens * F.col(f"p{k}")) for k in range(n)]).first()
+    while True:
+        now = rate(steps, n, most)
+        moved = F.sum(F.abs(now - rate(steps[:-1], n, most)) * tokens)
+        *held, move = members.agg(*[F.sum(now * tokens * F.col(f"p{k}")) for k in range(n)], moved).first()
         gap = np.array(held, float) - target
-        if np.abs(gap).max() <= GAP * total or np.abs(gap - last).max() <= 1e3 * GAP * total:
+        if np.abs(gap).max() <= GAP * total or (steps and move <= MOVED * total):
             break
-        last = gap
+        if len(steps) >= STEPS:
+            members, steps = written(members.withColumn("rate", now)), []
         steps.append(inverse @ gap)
-    return rate(steps, n)
+    if np.abs(gap).max() > MOVED * total:
+        logging.getLogger(__name__).warning("targets missed by these shares of tokens: %s", (gap / total).tolist())
+    return members.withColumn("rate", now)
 
 
-def mix(documents: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS) -> DataFrame:
+def mix(documents: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, most: float = MOST) -> DataFrame:
     """(doc_id, n_tokens, rate, p_<domain> …) of every document; ``labels`` has doc_id and domain."""
     domains = sorted(targets)
     weights, priors = fit(documents, labels, domains)
     members = written(memberships(documents, weights, priors))
-    rates = fit_rates(members, [targets[d] for d in domains])
-    return members.select("doc_id", "n_tokens", rates.alias("rate"), *[F.col(f"p{k}").alias(f"p_{d}") for k, d in enumerate(domains)])
+    rated = fit_rates(members, [targets[d] for d in domains], most)
+    return rated.select("doc_id", "n_tokens", "rate", *[F.col(f"p{k}").alias(f"p_{d}") for k, d in enumerate(domains)])
 
 
 def op2_mixing(spark, folder: str) -> DataFrame:
