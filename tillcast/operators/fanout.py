@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from tillcast.functions import clock, keys, money
 
-# Copies of the city directory that the sales are dealt over in the join.
-SALTS = 64
-
 # Published columns of the fan-out, in order.
 COLUMNS = [
     "source_sale_id", "synthetic_sale_id", "synthetic_sale_item_id", "city_slug", "timezone",
@@ -25,16 +22,29 @@ def city_directory(cities: DataFrame, profiles: DataFrame) -> DataFrame:
     )
 
 
+def tasks(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def dealt_out(sales: DataFrame) -> DataFrame:
+    """The log in as many even parts as a shuffle has.
+
+    A log of few files would otherwise be multiplied and hashed in as few tasks. Its columns are narrow
+    and its rows a fraction of what comes out, so this exchange costs little beside them.
+    """
+    return sales.repartition(tasks(sales))
+
+
 def per_city(sales: DataFrame, directory: DataFrame) -> DataFrame:
     """Every sale once per directory row.
 
-    Each sale draws one salt and the directory is copied for every salt, so an
-    equi-join on it gives all pairs. The log isn't copied before the join: Spark
-    broadcasts a short directory, and a long one joins evenly over the salts.
-    Which salt a sale draws makes no difference to the rows.
+    Each sale draws one salt and the directory is copied for every salt, so an equi-join on it gives all pairs. The log
+    isn't copied before the join: Spark broadcasts a short directory, and a long one joins evenly over the salts, which
+    are as many as a shuffle's parts. Which salt a sale draws makes no difference to the rows.
     """
-    salted = sales.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
-    copies = directory.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salts = tasks(sales)
+    salted = sales.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int"))
+    copies = directory.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(copies, "_salt").drop("_salt")
 
 
@@ -48,13 +58,14 @@ def fan_out_sales(sales: DataFrame, cities: DataFrame, profiles: DataFrame) -> D
 
     The log's date and time are read as the wall clock of each city.
     """
-    base = sales.select(
+    narrow = sales.select(
         "date",
         "time",
         F.col("coffee_name").alias("product_name"),
         F.col("money").alias("amount_money"),
         F.col("cash_type").alias("payment_type"),
-    ).withColumns(
+    )
+    base = dealt_out(narrow).withColumns(
         {
             "source_sale_id": source_sale_id(),
             "_wall": clock.wall_clock(F.col("date"), F.col("time")),

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillcast.functions import money
+from tillcast.operators.intervals import interval_join
 
 DAY = ["city_key", "date_key"]
 HOUR = ["city_key", "date_key", "hour"]
@@ -151,8 +152,7 @@ def sales_period(hours: DataFrame) -> DataFrame:
 
 def within_period(weather: DataFrame, period: DataFrame) -> DataFrame:
     """Weather hours inside the sales period of their city."""
-    inside = F.col("date_key").between(F.col("first_date_key"), F.col("last_date_key"))
-    return weather.join(period, "city_key").filter(inside).drop("first_date_key", "last_date_key")
+    return interval_join(weather, period, ["city_key"], "date_key", "first_date_key", "last_date_key")
 
 
 def mart_sales_weather_hourly(
@@ -162,7 +162,14 @@ def mart_sales_weather_hourly(
 
     Hours without sales count zero and have no average check.
     """
-    hours = sales_hours(sales)
+    return hourly_from_hours(sales_hours(sales), weather, cities, dates)
+
+
+def hourly_from_hours(hours: DataFrame, weather: DataFrame, cities: DataFrame, dates: DataFrame) -> DataFrame:
+    """The hourly mart from sales hours, which are read twice: for the period and for the hour's own sales.
+
+    Hand in written hours where sales are costly, as Spark would compute them once for each use.
+    """
     grid = within_period(weather.drop("loaded_at"), sales_period(hours))
     named = (
         grid.join(hours, HOUR, "left")

@@ -72,7 +72,9 @@ def build_marts(models: dict[str, DataFrame], root: str, run_id: str) -> dict[st
     sales, items, weather = (models[f"core_fct_{name}"] for name in ("sales", "sales_item", "weather_hour"))
     keep("mart_product_sales_daily", marts.mart_product_sales_daily(items, sales, cities, products, dates))
     keep("mart_sales_weather_daily", marts.mart_sales_weather_daily(sales, weather, cities, dates))
-    keep("mart_sales_weather_hourly", marts.mart_sales_weather_hourly(sales, weather, cities, dates))
+    # Sales hours are read twice, so they are a table of their own.
+    hours = tables.replace_table(marts.sales_hours(sales), root, "core", "core_agg_sales_hour", run_id)
+    keep("mart_sales_weather_hourly", marts.hourly_from_hours(hours, weather, cities, dates))
     return keep.models
 
 
