@@ -4,14 +4,14 @@ A multinomial classifier over hashed words, fitted on a bounded sample of a labe
 probability for each domain. A document's expected tokens of a domain are its tokens times that probability. Document
 rates, none negative, are fitted so that expected tokens by domain, summed over all documents at their rates, equal the
 targets: projected gradient on least squares, each step one distributed sum of as many numbers as there are domains.
-Distances are weighted by tokens and by the domains' Gram matrix, so documents of equal probabilities get equal rates
-and a step without a bound in the way lands on the target.
+Distances are weighted by tokens and by the Gram matrix of the domains over documents whose rates are above 0, so
+documents of equal probabilities get equal rates and a step that meets no bound lands on the target.
 
 Everything is DataFrame functions; the driver sees sums by domain only. The probability of a domain is tempered by the
 square root of a document's length, as word counts are far from independent.
 
-A null or empty text has no tokens: prior probabilities, a rate like others, no weight in the sums. Repeated rows each
-count. Labels outside the targets are ignored; a domain without labelled rows is as likely as
+A null or empty text has no tokens: prior probabilities, a rate like others, no weight in the sums. A very long text is
+one row of words counted where it lies. Repeated rows each count. Other columns, whatever their names, are not read. Labels outside the targets are ignored; a domain without labelled rows is as likely as
 its prior. An empty table gives no rows. Targets need not be reachable: rates then end near the nearest point, and the
 gap that remains is logged. A greatest rate can be set and is off by default.
 """
@@ -30,10 +30,12 @@ from tillcast.llm.common import table, written
 #: Hash buckets of words, which is what is broadcast; most labelled rows of the classifier; words of all domains
 #: together that each domain's counts are smoothed with.
 BUCKETS, LABELLED_ROWS, SMOOTHING = 1 << 15, 20_000, 1000.0
-#: The fit ends at this gap to the targets, as a share of all tokens, or when a step moves the mean rate of a token by
-#: less than MOVED. Rates are written after each STEPS steps. Directions of the Gram matrix below FLAT of its largest,
-#: in which domains are not told apart, are left out.
+#: The fit ends at this gap to the targets, as a share of all tokens, when a step moves the mean rate of a token by less
+#: than MOVED, or, for targets out of reach, when PATIENCE passes together narrow the gap by less than PROGRESS of it.
+#: Rates are written after each STEPS steps. Directions of the Gram matrix below FLAT of its largest, in which domains
+#: are not told apart, are left out.
 GAP, MOVED, STEPS, FLAT = 1e-9, 1e-6, 40, 1e-9
+PATIENCE, PROGRESS = 12, 0.01
 #: Greatest rate: none by default.
 MOST = math.inf
 #: Shares of tokens aimed at.
@@ -89,42 +91,65 @@ def memberships(documents: DataFrame, weights: DataFrame, priors: list[float]) -
 
 
 def rate(steps: list[np.ndarray], n: int, most: float = MOST) -> Column:
-    """The rate of a document after the steps: from its ``rate``, down along its probabilities, kept between 0 and ``most``."""
+    """(now, before): rates after all steps and after all but the last, down along probabilities, kept between 0 and ``most``."""
+    start = F.struct(F.col("rate").alias("now"), F.col("rate").alias("before"))
     if not steps:
-        return F.col("rate")
+        return start
     history = F.array(*[F.array(*[F.lit(float(x)) for x in g]) for g in steps])
     dot = lambda g: sum((F.get(g, F.lit(k)) * F.col(f"p{k}") for k in range(1, n)), F.get(g, F.lit(0)) * F.col("p0"))
-    return F.aggregate(history, F.col("rate"), lambda r, g: F.least(F.lit(most), F.greatest(F.lit(0.0), r - dot(g))))
+    down = lambda r, g: F.least(F.lit(most), F.greatest(F.lit(0.0), r - dot(g)))
+    return F.aggregate(history, start, lambda r, g: F.struct(down(r["now"], g).alias("now"), r["now"].alias("before")))
 
 
-def fit_rates(members: DataFrame, shares: list[float], most: float = MOST) -> DataFrame:
-    """The members with their ``rate``, expected tokens by domain matching ``shares`` of all tokens."""
-    n = len(shares)
+def look(members: DataFrame, steps: list[np.ndarray], target: np.ndarray, most: float) -> tuple[np.ndarray, np.ndarray, float]:
+    """One pass at the rates after ``steps``: gap to the target, Gram matrix of what rates can still lower, tokens moved."""
+    n = len(target)
     pairs = [(a, b) for a in range(n) for b in range(a, n)]
-    tokens = F.col("n_tokens").cast("double")
-    sums = members.agg(F.sum(tokens), *[F.sum(tokens * F.col(f"p{a}") * F.col(f"p{b}")) for a, b in pairs]).first()
-    members, total = members.withColumn("rate", F.lit(1.0)), sums[0] or 0.0
-    if not total:
-        return members
+    rated = members.select("n_tokens", *[f"p{k}" for k in range(n)], rate(steps, n, most).alias("r"))
+    tokens, now = F.col("n_tokens").cast("double"), F.col("r.now")
+    free = F.when((now > 0) & (now < most), tokens).otherwise(0.0)
+    sums = rated.agg(
+        *[F.sum(now * tokens * F.col(f"p{k}")) for k in range(n)],
+        *[F.sum(free * F.col(f"p{a}") * F.col(f"p{b}")) for a, b in pairs],
+        F.sum(F.abs(now - F.col("r.before")) * tokens),
+    ).first()
     gram = np.zeros((n, n))
-    for (a, b), x in zip(pairs, sums[1:], strict=True):
+    for (a, b), x in zip(pairs, sums[n:-1], strict=True):
         gram[a, b] = gram[b, a] = x
+    return np.array(sums[:n], float) - target, gram, sums[-1]
+
+
+def fit_rates(members: DataFrame, shares: list[float], most: float = MOST) -> DataFrame:
+    """The members with their ``rate``, expected tokens by domain matching ``shares`` of all tokens.
+
+    A step is the gap times the inverse Gram matrix of the documents whose rates are still free to fall, found in the
+    pass that finds the gap. One that widens the gap is taken back and halved.
+    """
+    total = float(members.agg(F.sum("n_tokens")).first()[0] or 0)
+    members = members.withColumn("rate", F.lit(1.0))
+    if not total:
+        return members
     target = total * np.array(shares) / sum(shares)
-    inverse = np.linalg.pinv(gram, rcond=FLAT, hermitian=True)
     steps: list[np.ndarray] = []
-    while True:
-        now = rate(steps, n, most)
-        moved = F.sum(F.abs(now - rate(steps[:-1], n, most)) * tokens)
-        *held, move = members.agg(*[F.sum(now * tokens * F.col(f"p{k}")) for k in range(n)], moved).first()
-        gap = np.array(held, float) - target
-        if np.abs(gap).max() <= GAP * total or (steps and move <= MOVED * total):
+    gap, gram, _ = look(members, steps, target, most)
+    widths, part = [np.abs(gap).max()], 1.0
+    while widths[-1] > GAP * total and (len(widths) <= PATIENCE or widths[-1] < (1 - PROGRESS) * widths[-1 - PATIENCE]):
+        step = part * (np.linalg.pinv(gram, rcond=FLAT, hermitian=True) @ gap)
+        next_gap, next_gram, moved = look(members, [*steps, step], target, most)
+        if np.abs(next_gap).max() < widths[-1]:
+            steps, gap, gram, part = [*steps, step], next_gap, next_gram, min(1.0, 2 * part)
+            if len(steps) >= STEPS:
+                members, steps = written(members.withColumn("rate", rate(steps, len(shares), most)["now"])), []
+        else:
+            part /= 2
+        widths.append(np.abs(gap).max())
+        if moved <= MOVED * total:
             break
-        if len(steps) >= STEPS:
-            members, steps = written(members.withColumn("rate", now)), []
-        steps.append(inverse @ gap)
-    if np.abs(gap).max() > MOVED * total:
-        logging.getLogger(__name__).warning("targets missed by these shares of tokens: %s", (gap / total).tolist())
-    return members.withColumn("rate", now)
+    log = logging.getLogger(__name__)
+    log.info("rates fitted in %d passes", len(widths))
+    if widths[-1] > MOVED * total:
+        log.warning("targets missed by these shares of tokens: %s", (gap / total).tolist())
+    return members.withColumn("rate", rate(steps, len(shares), most)["now"])
 
 
 def mix(documents: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, most: float = MOST) -> DataFrame:
