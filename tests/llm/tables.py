@@ -64,12 +64,33 @@ def documents() -> list[dict]:
     return rows
 
 
+def conversations() -> list[tuple]:
+    """(conv_id, turn, role, text): every fault, nulls in every column, ties of turn, repeated rows."""
+    talk = lambda conv, *turns: [(conv, k, role, text) for k, (role, text) in enumerate(turns)]
+    rows = []
+    for conv in range(40):
+        turns = [("user" if k % 2 == 0 else "assistant", f"{prose(conv * 7 + k, 6)}.") for k in range(conv % 9)]
+        rows += talk(conv, *([("system", "be kind.")] if conv % 3 == 0 else []), *turns)
+    rows += talk(100, ("user", "same."), ("user", "same."), ("assistant", "cut off"), ("tool", "odd!"), ("", "no role?"))
+    rows += talk(101, (None, "who?"), ("user", None), ("assistant", " \t"), ("assistant", "é ?  "), ("system", "late."))
+    rows += [(102, None, "user", "first."), (102, 5, "assistant", "b."), (102, 5, "assistant", "a."), (102, 9, "user", "last"), (102, None, "user", "first.")]
+    rows += [(None, 1, "user", "whose?"), (None, None, "assistant", "mine.")]
+    rows += [(103, 1, "assistant", "only."), (104, 1, "uncle", "u like user."), (104, 2, "aunt", "a like assistant.")]
+    rows += [(conv, 0, "user", "all of it is dropped.") for conv in range(200, 300) if zlib.crc32(f"{conv}:0".encode()) % 20 == 0]
+    rows += [(105, 3 * k, "user" if k % 4 else "assistant", "x" * (100_000 if k == 7 else k) + "!?"[k % 2]) for k in range(60)]
+    return rows
+
+
 def folder(path, rows: list[dict] | None = None) -> str:
     """The tables as Parquet, with extra columns whose names operators use themselves."""
+    talks = list(zip(*(conversations() if rows is None else []), strict=True)) or [[]] * 4
+    named = zip(("conv_id", "turn", "role", "text"), talks, (pa.int64(), pa.int64(), pa.string(), pa.string()), strict=True)
+    more = {c: pa.array([c] * len(talks[0])) for c in ("digest", "dropped", "fate", "audit", "kind")}
+    pq.write_table(pa.table({**{c: pa.array(list(v), t) for c, v, t in named}, **more}), f"{path}/conversations.parquet")
     rows = documents() if rows is None else rows
     schema = {"doc_id": pa.int64(), "text": pa.string(), "lang": pa.string(), "source": pa.string(), "n_chars": pa.int64()}
     data = {c: pa.array([r[c] for r in rows], t) for c, t in schema.items()}
-    for name in ("row", "score", "word", "label", "text_key", "held_out", "n", "bucket", "keep", "a", "domain", "quality", "trusted", "value"):
+    for name in ("row", "score", "word", "label", "text_key", "held_out", "n", "bucket", "keep", "a", "domain", "quality", "trusted", "value", "size", "shard", "slot", "phrase"):
         data[name] = pa.array([name] * len(rows))
     pq.write_table(pa.table(data), f"{path}/documents.parquet")
     ids = [r["doc_id"] for r in rows if r["doc_id"] is not None and r["doc_id"] < 121]
