@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tillcast.llm.collocations import op12_collocations
+from tillcast.llm.conversations import op11_conversation_repair
 from tillcast.llm.decontaminate import op7_decontaminate
 from tillcast.llm.language_id import op9_language_id
 from tillcast.llm.lattice_lm import op3_lattice_lm
@@ -12,6 +14,7 @@ from tillcast.llm.personal_data import op4_personal_data
 from tillcast.llm.quality_classifier import op1_quality_classifier
 from tillcast.llm.quality_rules import op8_quality_rules
 from tillcast.llm.secrets import op5_secret_scan
+from tillcast.llm.sharding import op13_histogram_sort
 
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
@@ -24,6 +27,9 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_language_id": op9_language_id,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_collocations": op12_collocations,
+    "op13_histogram_sort": op13_histogram_sort,
 }
 
 #: Keys with the SQL that DuckDB runs on the same tables; queries without one are tested against brute force.
@@ -109,8 +115,39 @@ from (select a as doc_id, min(b) as class_id from reach group by a)
 left join (select a as doc_id, count(*) as n_links from links group by a) using (doc_id)
 """
 
+COLLOCATIONS_SQL = rf"""
+with pieces as (
+    select coalesce(lang, 'und') as lang, unnest(string_split_regex({LOWER}, '[.,;:!?\x0A-\x0D]')) as piece from documents
+), worded as (
+    select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces
+), phrases as (
+    select lang, n, array_to_string(w[k : k + n - 1], ' ') as phrase, count(*) as f
+    from (select lang, w, n, unnest(range(1, len(w) - n + 2)) as k from worded, (select unnest([1, 2, 3]) as n) where len(w) >= n)
+    group by all
+), totals as (
+    select lang, cast(sum(f) as bigint) as n from phrases where n = 1 group by lang
+), candidates as (
+    select lang, n, phrase, string_split(phrase, ' ') as w, f as a from phrases where n >= 2 and f >= 10
+), taken as (
+    select distinct c.lang, c.phrase from candidates c
+    join (select lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) as phrase from candidates where n = 3) t
+      on t.lang = c.lang and t.phrase = c.phrase and 100 * t.a >= 50 * c.a
+), cuts as (
+    select c.lang, c.phrase, c.a, k, l.f as l, r.f as r, cast(1000000 * c.a::hugeint * c.a // (l.f::hugeint * r.f) as bigint) as score
+    from (select *, unnest(range(1, n)) as k from candidates anti join taken using (lang, phrase)) c
+    join phrases l on l.lang = c.lang and l.phrase = array_to_string(c.w[1 : k], ' ')
+    join phrases r on r.lang = c.lang and r.phrase = array_to_string(c.w[k + 1 : c.n], ' ')
+), lowest as (
+    select * from cuts qualify row_number() over (partition by lang, phrase order by score, k) = 1
+), ranked as (
+    select lang, row_number() over (partition by lang order by score desc, a desc, encode(phrase)) as rank, phrase, a, l, r, score from lowest
+)
+select lang, rank, phrase, a, l, r, n, score from ranked join totals using (lang) where rank <= 2000
+"""
+
 QUERIES_SQL: dict[str, str] = {
     "op6_line_dedup": LINE_DEDUP_SQL,
     "op7_decontaminate": DECONTAMINATE_SQL,
     "op10_jaccard_join": JACCARD_SQL,
+    "op12_collocations": COLLOCATIONS_SQL,
 }
