@@ -34,14 +34,14 @@ TAKEN = 50
 BURST, FAN_BITS, DEPTH = 1 << 15, 6, 3
 #: Phrases a task's tries hold, words it numbers, words of a piece taken at once, entries a merge holds before it adds up.
 HELD, NUMBERED, PIECE, MERGED = 1 << 20, 1 << 20, 1 << 18, 1 << 21
-#: Prefix partitions to a task.
-FINER = 8
+#: Prefix partitions to a task, and parts that a language's candidates are ranked in before their best meet.
+FINER, RANKED = 2, 16
 #: Bits of a word's number in a packed phrase; 0 stands for no word.
 BITS = 21
 SCALE = 1_000_000
 
 BREAKS = bytes.maketrans(b".,;:!?\x0b\x0c\r\t", b"\n" * 9 + b" ")
-RUN = "bucket int, lang string, kind int, run binary"
+RUN = "bucket int, run binary"
 COUNTED = "kind int, lang string, h1 long, h2 long, h3 long, n long, word string"
 PHRASES, VOCABULARY, TOTAL, CLASH = range(4)
 
@@ -143,7 +143,7 @@ class Counter:
         self.uses: dict[str, np.ndarray] = {}
 
     def __call__(self, rows):
-        out: list[tuple] = []
+        out: dict[int, list[bytes]] = {}
         self.ids: dict[str, list[int]] = {}
         self.twice: dict[str, list[tuple[int, int]]] = {}
         for text, lang in zip(rows["text"], rows["lang"], strict=True):
@@ -166,7 +166,7 @@ class Counter:
             self.spill(out, HELD // 2)
         return self.rows(out)
 
-    def count(self, out) -> None:
+    def count(self, out: dict[int, list[bytes]]) -> None:
         for lang, held in self.ids.items():
             ids = np.array([*held, 0, 0], np.int64)
             uses = np.bincount(ids, minlength=len(self.numbers) + 1)
@@ -197,7 +197,7 @@ class Counter:
                 for bucket, own in by_bucket(keys, self.buckets):
                     own = used[own]
                     text = b" ".join([words[k] for k in own])
-                    out.append((bucket, lang, VOCABULARY, squeeze(hashes[own], uses[1:][own], np.frombuffer(text, np.uint8))))
+                    out.setdefault(bucket, []).append(section(lang, VOCABULARY, hashes[own], uses[1:][own], np.frombuffer(text, np.uint8)))
             self.forget()
 
     def spill_tries(self, out, keep: int) -> None:
@@ -212,7 +212,7 @@ class Counter:
             h1, h2, h3 = (hashes[codes >> shift & mask] for shift in (2 * BITS, BITS, 0))
             keys = prefix_keys(h1, h2)
             for bucket, own in by_bucket(keys, self.buckets):
-                out.append((bucket, lang, PHRASES, run_of(keys[own], h1[own], h2[own], h3[own], counts[own])))
+                out.setdefault(bucket, []).append(run_of(lang, h1[own], h2[own], h3[own], counts[own]))
 
     def hashes(self) -> np.ndarray:
         """Hash of each number's word; 0 for no word and for none else."""
@@ -220,12 +220,14 @@ class Counter:
         return np.concatenate([np.zeros(1, np.uint64), found]).view(np.int64)
 
     def finish(self):
-        out: list[tuple] = []
+        out: dict[int, list[bytes]] = {}
         self.spill(out, 0)
         return self.rows(out)
 
     def rows(self, out):
-        return dict(zip(("bucket", "lang", "kind", "run"), map(list, zip(*out, strict=True)), strict=True)) if out else None
+        """One row for each prefix partition, with its runs in all languages."""
+        squeeze = zstandard.ZstdCompressor(level=1).compress
+        return {"bucket": list(out), "run": [squeeze(b"".join(x)) for x in out.values()]} if out else None
 
 
 def prefix_keys(h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
@@ -242,29 +244,32 @@ def by_bucket(keys: np.ndarray, buckets: int):
         yield int(of[a]), order[a:z]
 
 
-def run_of(keys, h1, h2, h3, counts) -> bytes:
+def run_of(lang: str, h1, h2, h3, counts) -> bytes:
     """A sorted run: each prefix once, with how many phrases follow it."""
     heads = np.flatnonzero(np.concatenate([[True], (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])]))
-    return squeeze(h1[heads], h2[heads], np.diff(np.append(heads, len(h1))), h3, counts)
+    return section(lang, PHRASES, h1[heads], h2[heads], np.diff(np.append(heads, len(h1))), h3, counts)
 
 
-def squeeze(*columns: np.ndarray) -> bytes:
-    """Columns of one run, compressed: their number, and each with its length and its bytes."""
-    parts = [np.array([len(columns)], np.int64).tobytes()]
-    for c in columns:
-        # Counts and hashes are eight bytes wide; counts shrink to almost nothing when compressed.
-        parts += [np.array([c.nbytes], np.int64).tobytes(), c.tobytes()]
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
+def section(lang: str, kind: int, *columns: np.ndarray) -> bytes:
+    """A run as bytes: language, kind, and columns with their lengths. Wide counts are mostly zeros, which compress away."""
+    name = lang.encode()
+    head = np.array([kind, len(name), len(columns), *[c.nbytes for c in columns]], np.int64)
+    return b"".join([head.tobytes(), name, *[c.tobytes() for c in columns]])
 
 
-def unsqueeze(run: bytes) -> list[bytes]:
-    raw = zstandard.ZstdDecompressor().decompress(run)
-    out, at = [], 8
-    for _ in range(int.from_bytes(raw[:8], "little")):
-        size = int.from_bytes(raw[at : at + 8], "little")
-        out.append(raw[at + 8 : at + 8 + size])
-        at += 8 + size
-    return out
+def sections(run: bytes):
+    """(language, kind, columns as bytes) of the runs in a row."""
+    raw, at = zstandard.ZstdDecompressor().decompress(run), 0
+    while at < len(raw):
+        kind, name, n = np.frombuffer(raw, np.int64, 3, at).tolist()
+        sizes = np.frombuffer(raw, np.int64, n, at + 24).tolist()
+        at += 24 + 8 * n
+        lang, at = raw[at : at + name].decode(), at + name
+        columns = []
+        for size in sizes:
+            columns.append(raw[at : at + size])
+            at += size
+        yield lang, kind, columns
 
 
 # --- merging a prefix partition -------------------------------------------------------------
@@ -279,8 +284,7 @@ class Merge:
         self.words: dict[int, tuple[bytes, int]] = {}
         self.total, self.clash = 0, False
 
-    def add(self, kind: int, run: bytes) -> None:
-        columns = unsqueeze(run)
+    def add(self, kind: int, columns: list[bytes]) -> None:
         if kind == VOCABULARY:
             hashes, uses = (np.frombuffer(c, np.int64) for c in columns[:2])
             self.total += int(uses.sum())
@@ -324,23 +328,26 @@ class Merge:
 
 
 def merged(runs: DataFrame, least: int) -> DataFrame:
-    """Counts of ``least`` or more from runs that lie by prefix partition, sorted by it and language."""
+    """Counts of ``least`` or more from runs that lie by prefix partition, sorted by it."""
     schema = pa.schema([("kind", pa.int32()), ("lang", pa.string()), *[(c, pa.int64()) for c in ("h1", "h2", "h3", "n")], ("word", pa.string())])
 
-    def batch_of(rows):
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
+    def batches_of(held):
+        rows = [row for lang, merge in held.items() for row in merge.rows(lang, least)]
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
 
     def run(batches):
-        at, held = None, Merge()
+        at, held = None, {}
         for batch in batches:
-            for bucket, lang, kind, blob in zip(*(batch.column(c).to_pylist() for c in ("bucket", "lang", "kind", "run")), strict=True):
-                if at != (bucket, lang):
-                    if at is not None and (rows := held.rows(at[1], least)):
-                        yield batch_of(rows)
-                    at, held = (bucket, lang), Merge()
-                held.add(kind, blob)
-        if at is not None and (rows := held.rows(at[1], least)):
-            yield batch_of(rows)
+            for bucket, blob in zip(batch.column("bucket").to_pylist(), batch.column("run"), strict=True):
+                if bucket != at:
+                    yield from batches_of(held)
+                    at, held = bucket, {}
+                for lang, kind, columns in sections(blob.as_py()):
+                    if lang not in held:
+                        held[lang] = Merge()
+                    held[lang].add(kind, columns)
+        yield from batches_of(held)
 
     return runs.mapInArrow(run, COUNTED)
 
@@ -352,7 +359,7 @@ def phrase_counts(documents: DataFrame, least: int = LEAST) -> DataFrame:
     salt = 0
     while True:
         runs = map_slices(texts, lambda salt=salt: Counter(FINER * tasks, salt), RUN)
-        found = written(merged(runs.repartition("bucket").sortWithinPartitions("bucket", "lang"), least))
+        found = written(merged(runs.repartition("bucket").sortWithinPartitions("bucket"), least))
         if found.where(F.col("kind") == CLASH).isEmpty():
             return found
         salt += 1
@@ -397,8 +404,12 @@ def collocations(documents: DataFrame, least: int = LEAST, top: int = TOP) -> Da
     counts = phrase_counts(documents, least)
     totals = counts.where(F.col("kind") == TOTAL).groupBy("lang").agg(F.sum("n").alias("n"))
     scored = candidates(counts).withColumn("phrase", F.concat_ws(" ", "w1", "w2", "w3"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")).cast("long")
-    best = scored.withColumn("rank", rank).where(F.col("rank") <= top)
+    order = F.desc("score"), F.desc("a"), "phrase"
+    # The best of each part meet in the end: a language with most candidates is not ranked in one task.
+    part = F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))
+    some = scored.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(RANKED))).withColumn("place", part).where(F.col("place") <= top)
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")
+    best = some.withColumn("rank", rank).where(F.col("rank") <= top)
     return best.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
