@@ -2,6 +2,7 @@ import json
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tillcast import schemas
@@ -9,6 +10,7 @@ from tillcast.operators.upsert import upsert
 from tillcast.sources import cities as city_source
 from tillcast.sources import readers
 from tillcast.sources.window import resolve_window
+from tillcast.sources.log import Log
 from tillcast.streaming import ingest
 
 ROW = "k string, v int, loaded_at timestamp_ntz"
@@ -92,14 +94,23 @@ def issue(payload, loaded_at, hour=5):
     }
 
 
-def test_ingest_is_idempotent_and_resolves_reloads(spark, tmp_path):
-    landing, table = tmp_path / "landing", str(tmp_path / "table")
-    schema, key = schemas.WEATHER_FORECAST, schemas.RAW_KEYS["weather_forecast"]
+@pytest.fixture
+def log(spark, shared):
+    name = f"t_{abs(hash(shared)):x}"
+    return Log(spark, "raw_streams", name, schemas.RAW_KEYS["weather_forecast"], shared, buckets=4)
+
+
+def ingest_all(spark, tmp_path, log, **more):
+    stream = ingest.landed(spark, str(tmp_path / "landing"), schemas.WEATHER_FORECAST, **more)
+    ingest.ingest(stream, log.append, str(tmp_path / "checkpoint"))
+
+
+def test_ingest_is_idempotent_and_resolves_reloads(spark, tmp_path, log):
+    landing = tmp_path / "landing"
 
     def run():
-        ingest.ingest(ingest.landed(spark, str(landing), schema), table)
-        log = ingest.read_log(spark, table, schema)
-        return {r.issued_at.hour: r.payload for r in ingest.current(log, key).collect()}, log.count()
+        ingest_all(spark, tmp_path, log)
+        return {r.issued_at.hour: r.payload for r in log.current().collect()}, log.rows().count()
 
     land(landing, "1.json", issue("first", "05:10:00"), issue("six", "06:10:00", 6))
     assert run() == ({5: "first", 6: "six"}, 2)
@@ -110,23 +121,44 @@ def test_ingest_is_idempotent_and_resolves_reloads(spark, tmp_path):
     assert run() == ({5: "again", 6: "six"}, 4)
     land(landing, "4.json", issue("tie", "05:20:00"))  # equal time: later batch
     assert run() == ({5: "tie", 6: "six"}, 5)
+    assert len(log.compact("stream-9")) == 4 and log.batches() == ["stream-9"]
+    assert run() == ({5: "tie", 6: "six"}, 2)
 
 
-def test_a_repeated_batch_overwrites_its_own_folder(spark, tmp_path):
-    landing, table = tmp_path / "landing", str(tmp_path / "table")
+def test_a_batch_that_failed_after_its_write_replaces_itself(spark, tmp_path, log):
+    landing, tries = tmp_path / "landing", []
     land(landing, "1.json", issue("first", "05:10:00"))
-    ingest.ingest(ingest.landed(spark, str(landing), schemas.WEATHER_FORECAST), table)
-    # Lose the commit record, as when the driver dies after the batch was written.
-    commits = tmp_path / "table" / "checkpoint" / "commits"
-    for file in commits.iterdir():
-        file.unlink()
-    ingest.ingest(ingest.landed(spark, str(landing), schemas.WEATHER_FORECAST), table)
-    assert ingest.read_log(spark, table, schemas.WEATHER_FORECAST).count() == 1
 
+    def append(batch, batch_id):
+        log.append(batch, batch_id)
+        tries.append(batch_id)
+        if len(tries) == 1:
+            raise RuntimeError("the driver dies before the stream notes the batch")
 
-def test_read_log_has_the_declared_types(spark, tmp_path):
-    landing, table = tmp_path / "landing", str(tmp_path / "table")
-    land(landing, "1.json", issue("first", "05:10:00"))
-    ingest.ingest(ingest.landed(spark, str(landing), schemas.WEATHER_FORECAST), table)
-    log = ingest.read_log(spark, table, schemas.WEATHER_FORECAST)
-    assert StructType(log.drop("batch_id").schema.fields) == schemas.WEATHER_FORECAST
+    def run():
+        ingest.ingest(ingest.landed(spark, str(landing), schemas.WEATHER_FORECAST), append, str(tmp_path / "checkpoint"))
+
+    with pytest.raises(Exception, match="driver dies"):
+        run()
+    assert log.rows().count() == 1
+    land(landing, "2.json", issue("second", "06:10:00", 6))
+    run()
+    assert tries == ["stream-0000000000", "stream-0000000000", "stream-0000000001"]
+    assert log.batches() == tries[1:] and log.rows().count() == 2
+
+
+def test_a_log_is_resolved_where_its_rows_lie(spark, rows, log):
+    ddl = "city_slug string, issued_at timestamp_ntz, forecast_days int, payload string, loaded_at timestamp_ntz"
+    for batch in range(3):
+        log.append(rows(ddl, *[[f"c{k}", "2024-03-01 05:00:00", 3, f"{batch}", f"2024-03-01 0{batch}:00:00"] for k in range(batch, 20)]), f"{batch}")
+    found = log.current()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Bucketed: true" in plan
+    newest = {r.city_slug: r.payload for r in found.collect()}
+    assert newest == {f"c{k}": str(min(k, 2)) for k in range(20)}
+    assert StructType(found.schema.fields) == schemas.WEATHER_FORECAST
+    # One file a bucket and batch.
+    files = found.select(F.input_file_name().alias("f"), "city_slug")
+    assert files.select("f").distinct().count() <= 3 * 4
+    assert {r.city_slug for r in log.versions_of(["2"]).collect()} == {f"c{k}" for k in range(2, 20)}
+    assert log.versions_of(["2"]).count() == 18 * 3

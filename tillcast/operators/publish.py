@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 from decimal import Decimal
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, TimestampNTZType, TimestampType
@@ -14,11 +13,9 @@ from pyspark.sql.types import DataType, TimestampNTZType, TimestampType
 from tillcast.contracts import MartSpec
 from tillcast.functions import clock
 from tillcast.sources import tables
+from tillcast.sources.days import DayTable
 
 
-# Ends the name of the table that a publisher creates while it works.
-CLAIM_MARK = "__claim"
-
 
 class PublishError(ValueError):
     """The mart does not meet its contract or the copy differs from it."""
@@ -94,20 +91,12 @@ def clustered(df: DataFrame, spec: MartSpec) -> DataFrame:
 
 @contextmanager
 def claimed(spark: SparkSession, spec: MartSpec, root: str, run_id: str) -> Iterator[None]:
-    """Hold the mart for one publisher: creating the claim is atomic and fails while another run has it.
-
-    A run that dies leaves its claim, which the error names; drop that table once the run is known to be gone.
-    """
-    tables.ensure_layer(spark, spec.layer, root)
-    claim = f"`{spec.layer}`.`{spec.table}{CLAIM_MARK}`"
-    try:
-        spark.sql(f"CREATE TABLE {claim} (run_id string) USING parquet COMMENT 'run {run_id}'")
-    except AnalysisException as error:
-        raise PublishError(f"{spec.model} is being published by another run, which holds {claim}") from error
+    """Hold the mart for one publisher."""
     try:
-        yield
-    finally:
-        spark.sql(f"DROP TABLE IF EXISTS {claim}")
+        with tables.claimed(spark, root, spec.layer, spec.table, run_id):
+            yield
+    except tables.ClaimedError as error:
+        raise PublishError(f"{spec.model} is being published by another run: {error}") from error
 
 
 def publish_mart(source: DataFrame, spec: MartSpec, root: str, run_id: str) -> dict[str, str]:
@@ -133,3 +122,27 @@ def publish_mart(source: DataFrame, spec: MartSpec, root: str, run_id: str) -> d
         tables.point_to(spark, spec.layer, spec.table, version)
     shown = {name: str(actual[name]) for name in ("row_count", *spec.sum_columns)}
     return {"table": f"{spec.layer}.{spec.table}", **shown}
+
+
+def publish_days(
+    source: DataFrame, spec: MartSpec, root: str, run_id: str, days: Iterable[int] | None = None, day: str = "date_key"
+) -> dict[str, str]:
+    """Publish the rows of some days of a materialised mart, or, without ``days``, all of it.
+
+    The days' rows are written beside what readers see and compared with the source; then all days change at once. The
+    key holds the day, so rows of other days can't repeat it. Days without rows any more are empty afterwards.
+    """
+    spark = source.sparkSession
+    if day not in spec.unique_key:
+        raise PublishError(f"the key of {spec.model} doesn't hold its day {day}")
+    expected = statistics(source, spec).first().asDict()
+    if expected["row_count"] == 0 and days is None:
+        raise PublishError(f"{spec.model} is empty and will not be published")
+    table = DayTable(spark, root, spec.layer, spec.table, day)
+    with claimed(spark, spec, root, run_id):
+        staged = table.stage(to_contract(source, spec), run_id, [c for c in spec.sort_key if c != day])
+        actual = verification(staged, spec).first().asDict()
+        compare(expected, actual, spec)
+        table.show(run_id, days)
+    shown = {name: str(actual[name]) for name in ("row_count", *spec.sum_columns)}
+    return {"table": f"{spec.layer}.{spec.table}", **shown}

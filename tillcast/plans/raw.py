@@ -10,13 +10,14 @@ from pyspark.sql.types import StructType
 
 from tillcast import schemas
 from tillcast.operators import loads
-from tillcast.operators.latest import latest
 from tillcast.operators.upsert import upsert
 from tillcast.sources import cities, readers, tables
+from tillcast.sources.log import BATCH, Log
+from tillcast.streaming import ingest
 
 RAW = "raw"
-# Document tables are append-only logs, a partition for each run.
-LOG_MARK, BATCH = "__log", "batch_id"
+# Document tables are append-only logs, a partition for each batch.
+LOG_MARK = "__log"
 DOCUMENTS = ["weather_archive", "weather_forecast"]
 
 
@@ -38,29 +39,9 @@ def seed_cities(spark: SparkSession, root: str, run_id: str, now: datetime) -> D
     return tables.replace_table(seeded, root, RAW, "cities", run_id)
 
 
-def log_table(name: str) -> str:
-    return f"{name}{LOG_MARK}"
-
-
-def newest(spark: SparkSession, name: str) -> DataFrame:
-    """The log of a document table resolved to the newest row of each key."""
-    ranked = latest(spark.table(f"{RAW}.{log_table(name)}"), schemas.RAW_KEYS[name], ["loaded_at", BATCH])
-    return ranked.select(*schemas.RAW_TABLES[name].names)
-
-
-def append_batch(batch: DataFrame, name: str, root: str, run_id: str) -> None:
-    """Write a batch as its own partition of the log; the same run again replaces only that."""
-    spark, log = batch.sparkSession, log_table(name)
-    tables.ensure_layer(spark, RAW, root)
-    if log not in tables.table_names(spark, RAW):
-        empty = spark.createDataFrame([], batch.schema).withColumn(BATCH, F.lit(""))
-        empty.write.partitionBy(BATCH).format("parquet").saveAsTable(f"{RAW}.{log}")
-    # The partition is named in the statement, so no other can be overwritten.
-    view = f"{log}_batch"
-    batch.createOrReplaceTempView(view)
-    spark.sql(f"INSERT OVERWRITE TABLE `{RAW}`.`{log}` PARTITION ({BATCH} = '{run_id}') SELECT * FROM {view}")
-    spark.catalog.dropTempView(view)
-    spark.catalog.refreshTable(f"{RAW}.{log}")
+def document_log(spark: SparkSession, name: str, root: str | None = None) -> Log:
+    """The log of a document table, laid out by its key."""
+    return Log(spark, RAW, f"{name}{LOG_MARK}", schemas.RAW_KEYS[name], root)
 
 
 def load_documents(landed: DataFrame, name: str, root: str, run_id: str) -> dict[str, int]:
@@ -73,36 +54,42 @@ def load_documents(landed: DataFrame, name: str, root: str, run_id: str) -> dict
     spark = landed.sparkSession
     fields: StructType = schemas.RAW_TABLES[name]
     batch = loads.reject_empty(readers.with_document(landed)).filter("hours > 0").select(*fields.names)
-    append_batch(batch, name, root, run_id)
-    written = spark.table(f"{RAW}.{log_table(name)}").filter(F.col(BATCH) == run_id)
-    return loads.load_summary(written).first().asDict()
+    log = document_log(spark, name, root)
+    log.append(batch, run_id)
+    return loads.load_summary(log.rows().filter(F.col(BATCH) == run_id)).first().asDict()
+
+
+def stream_documents(spark: SparkSession, path: str, name: str, root: str, files_per_batch: int | None = None) -> dict[str, dict[str, int]]:
+    """Load all documents that landed in a folder since the last call; returns a summary of each new batch.
+
+    A file is loaded once. A run that fails after a batch was written and before the stream noted it writes the same
+    batch again under the same name.
+    """
+    summaries: dict[str, dict[str, int]] = {}
+
+    def append(batch: DataFrame, batch_id: str) -> None:
+        summaries[batch_id] = load_documents(batch, name, root, batch_id)
+
+    stream = ingest.landed(spark, path, schemas.RAW_TABLES[name], files_per_batch=files_per_batch)
+    ingest.ingest(stream, append, f"{root}/checkpoints/{name}")
+    return summaries
 
 
 def batches(spark: SparkSession, name: str) -> list[str]:
-    rows = spark.sql(f"SHOW PARTITIONS `{RAW}`.`{log_table(name)}`").collect()
-    return sorted(row[0].split("=", 1)[1] for row in rows)
+    return document_log(spark, name).batches()
 
 
 def compact(spark: SparkSession, name: str, run_id: str) -> int:
-    """Replace all batches of a log by one of the rows that count; returns its former number of batches.
-
-    The new batch is written before the old ones go. Readers in between see the
-    same rows, since a row and its copy resolve to one.
-    """
-    old = [b for b in batches(spark, name) if b != run_id]
-    rows = newest(spark, name).withColumn(BATCH, F.lit(run_id))
-    rows.write.mode("append").insertInto(f"{RAW}.{log_table(name)}")
-    for batch in old:
-        spark.sql(f"ALTER TABLE `{RAW}`.`{log_table(name)}` DROP IF EXISTS PARTITION ({BATCH} = '{batch}')")
-    spark.catalog.refreshTable(f"{RAW}.{log_table(name)}")
-    return len(old)
+    """Replace all batches of a log by one of the rows that count; returns its former number of batches."""
+    return len(document_log(spark, name).compact(run_id))
 
 
 def read_documents(spark: SparkSession, name: str) -> DataFrame:
     """A document table: its resolved log, over what a snapshot restored, if any."""
     names = tables.table_names(spark, RAW)
-    if log_table(name) not in names:
+    log, fields = document_log(spark, name), schemas.RAW_TABLES[name].names
+    if not log.exists():
         return spark.table(f"{RAW}.{name}")
     if name not in names:
-        return newest(spark, name)
-    return upsert(spark.table(f"{RAW}.{name}"), newest(spark, name), schemas.RAW_KEYS[name])
+        return log.current().select(*fields)
+    return upsert(spark.table(f"{RAW}.{name}"), log.current().select(*fields), schemas.RAW_KEYS[name])

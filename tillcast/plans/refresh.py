@@ -1,4 +1,4 @@
-"""Build all models, check them, publish the marts."""
+"""Build all models, or the days that new loads touch, check them, publish the marts."""
 
 from __future__ import annotations
 
@@ -11,8 +11,8 @@ from tillcast import schemas
 from tillcast.contracts import load_marts
 from tillcast.operators import quality
 from tillcast.operators.fanout import fan_out_sales
-from tillcast.operators.publish import publish_mart
-from tillcast.plans import checks, core, marts, raw, staging
+from tillcast.operators.publish import publish_days
+from tillcast.plans import checks, core, marts, raw, staging, touched
 from tillcast.session import build_session, shared_dir
 from tillcast.sources import jdbc, readers, snapshot, tables
 
@@ -62,6 +62,8 @@ def build_core(inputs: dict[str, DataFrame], root: str, run_id: str, today: date
     keep("core_fct_weather_hour", core.fct_weather_hour(staged["weather_hourly"], cities, dates))
     forecast = core.fct_weather_forecast_hour(staged["weather_forecast"], cities, dates)
     keep("core_fct_weather_forecast_hour", forecast)
+    # Sales hours are read twice by the hourly mart and by every refresh of touched days, so they are a table.
+    keep("core_agg_sales_hour", marts.sales_hours(keep.models["core_fct_sales"]))
     return keep.models
 
 
@@ -72,21 +74,22 @@ def build_marts(models: dict[str, DataFrame], root: str, run_id: str) -> dict[st
     sales, items, weather = (models[f"core_fct_{name}"] for name in ("sales", "sales_item", "weather_hour"))
     keep("mart_product_sales_daily", marts.mart_product_sales_daily(items, sales, cities, products, dates))
     keep("mart_sales_weather_daily", marts.mart_sales_weather_daily(sales, weather, cities, dates))
-    # Sales hours are read twice, so they are a table of their own.
-    hours = tables.replace_table(marts.sales_hours(sales), root, "core", "core_agg_sales_hour", run_id)
-    keep("mart_sales_weather_hourly", marts.hourly_from_hours(hours, weather, cities, dates))
+    keep("mart_sales_weather_hourly", marts.hourly_from_hours(models["core_agg_sales_hour"], weather, cities, dates))
     return keep.models
 
 
 class Keeper:
-    """Writes models of a layer as tables and remembers them."""
+    """Writes models of a layer as tables, facts and marts by day, and remembers them."""
 
     def __init__(self, layer: str, root: str, run_id: str):
         self.layer, self.root, self.run_id = layer, root, run_id
         self.models: dict[str, DataFrame] = {}
 
     def __call__(self, name: str, df: DataFrame) -> DataFrame:
-        self.models[name] = tables.replace_table(df, self.root, self.layer, name, self.run_id)
+        if name in touched.BY_DAY:
+            self.models[name] = touched.day_table(df.sparkSession, self.root, name).replace(df, self.run_id)
+        else:
+            self.models[name] = tables.replace_table(df, self.root, self.layer, name, self.run_id)
         return self.models[name]
 
 
@@ -115,12 +118,35 @@ def refresh(inputs: dict[str, DataFrame], root: str, run_id: str, today: date) -
     if unbuilt:
         raise RuntimeError(f"configured marts were not built: {unbuilt}")
     verify(models, "mart_", checks.mart_checks(models))
-    return [publish_mart(models[name], spec, root, run_id) for name, spec in specs.items()]
+    return [publish_days(models[name], spec, root, run_id) for name, spec in specs.items()]
+
+
+def refresh_changes(spark: SparkSession, root: str, run_id: str, today: date) -> list[dict[str, str]]:
+    """Refresh what changed since the last refresh: the days that new weather loads touch, or everything.
+
+    What was there when the refresh began is noted when it is published, so a load that
+    comes in between, or a refresh that fails, is taken up by the next one.
+    """
+    present = touched.present_state(spark)
+    batches = touched.new_batches(touched.seen_state(spark), present)
+    inputs = read_raw(spark)
+    if batches is None:
+        published = refresh(inputs, root, run_id, today)
+    elif not any(batches.values()):
+        return []
+    else:
+        models, days = touched.rebuild_days(inputs, batches, root, run_id, today)
+        sales = touched.day_table(spark, root, "core_fct_sales").read(days)
+        touched.check_days(models, sales, spark.table("core.core_dim_city"), spark.table("core.core_dim_date"))
+        specs = load_marts()
+        published = [publish_days(models[name], specs[name], root, run_id, days) for name in touched.WEATHER_MODELS if name in specs and days]
+    touched.note_state(spark, present, root, run_id)
+    return published
 
 
 def read_raw(spark: SparkSession) -> dict[str, DataFrame]:
     """All raw tables; document tables are read from the logs that the load jobs append to."""
-    logged = [name for name in raw.DOCUMENTS if raw.log_table(name) in tables.table_names(spark, "raw")]
+    logged = [name for name in raw.DOCUMENTS if raw.document_log(spark, name).exists()]
     missing = tables.missing_tables(spark, "raw", [name for name in schemas.RAW_TABLES if name not in logged])
     if missing:
         raise RuntimeError(f"raw tables are missing: {missing}")
@@ -139,11 +165,17 @@ def run(args: argparse.Namespace, spark: SparkSession, now: datetime) -> list[ob
     if args.job == "seed-cities":
         return [f"{raw.seed_cities(spark, root, run_id, now.replace(tzinfo=None)).count()} cities"]
     if args.job in ("weather_archive", "weather_forecast"):
-        landed = readers.read_documents(spark, args.path, schemas.RAW_TABLES[args.job])
-        return [raw.load_documents(landed, args.job, root, run_id)]
+        found = raw.stream_documents(spark, args.path, args.job, root)
+        return [f"{batch}: {summary}" for batch, summary in found.items()] or ["nothing new has landed"]
     if args.job == "compact":
-        logs = [name for name in raw.DOCUMENTS if raw.log_table(name) in tables.table_names(spark, "raw")]
-        return [f"{name}: {raw.compact(spark, name, run_id)} batches made one" for name in logs]
+        lines = []
+        for name in raw.DOCUMENTS:
+            log = raw.document_log(spark, name, root)
+            if log.exists():
+                old = log.compact(run_id)
+                touched.note_compaction(spark, name, old, run_id, root, run_id)
+                lines.append(f"{name}: {len(old)} batches made one")
+        return lines
     if args.job == "fan-out":
         profiles = readers.read_city_profiles(spark, args.path)
         cities = spark.table("raw.cities")
@@ -163,11 +195,13 @@ def run(args: argparse.Namespace, spark: SparkSession, now: datetime) -> list[ob
     if args.job == "restore-snapshot":
         done = snapshot.restore_snapshot(spark, args.path, root, run_id)
         return ["restored" if done else "the raw layer is already there"]
-    return refresh(read_raw(spark), root, run_id, now.date())
+    if args.job == "rebuild":
+        return refresh(read_raw(spark), root, run_id, now.date())
+    return refresh_changes(spark, root, run_id, now.date()) or ["nothing has changed"]
 
 
 JOBS = [
-    "load-sales", "seed-cities", "weather_archive", "weather_forecast", "compact", "fan-out", "refresh",
+    "load-sales", "seed-cities", "weather_archive", "weather_forecast", "compact", "fan-out", "refresh", "rebuild",
     "export-snapshot", "restore-snapshot",
 ]
 

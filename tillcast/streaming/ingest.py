@@ -1,22 +1,21 @@
-"""Idempotent ingest of landed snapshots with Structured Streaming.
-
-Each micro-batch becomes one folder of an append-only log, named by its batch
-id. A batch that runs twice overwrites its own folder, and a batch costs no more
-than its own rows however long the history is. Readers resolve the log to one
-row per key, newest load first, so late and corrected rows supersede old ones
-without a state store. The log and the stream's checkpoint live under one
-folder, because batch ids only mean something together with that checkpoint.
+"""Idempotent ingest of landed files with Structured Streaming.
+
+Each micro-batch becomes one batch of a keyed log, named by its batch id. A batch that runs twice replaces itself, so a
+failure between the write and the stream's commit repeats no row, and a batch costs no more than its own rows however
+long the history is. Readers resolve the log to one row per key, newest load first, so late and corrected rows
+supersede old ones without a state store. Batch ids only mean something together with the stream's checkpoint.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from tillcast.operators.latest import latest
-
-BATCH = "batch_id"
+#: Begins the name of a batch that a stream appended; sorts behind run ids, which are numbers.
+STREAMED = "stream-"
 
 
 def landed(spark: SparkSession, path: str, schema: StructType, fmt: str = "json", glob: str | None = None,
@@ -30,33 +29,14 @@ def landed(spark: SparkSession, path: str, schema: StructType, fmt: str = "json"
     return reader.load(path)
 
 
-def log_path(table: str) -> str:
-    return f"{table}/log"
-
-
-def start_ingest(stream: DataFrame, table: str) -> StreamingQuery:
-    """Append all files that have landed since the last run, then stop."""
-
-    def append(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{log_path(table)}/{BATCH}={batch_id:010d}")
-
-    return (
-        stream.writeStream.foreachBatch(append)
-        .option("checkpointLocation", f"{table}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-    )
-
-
-def ingest(stream: DataFrame, table: str) -> None:
-    start_ingest(stream, table).awaitTermination()
+def start_ingest(stream: DataFrame, append: Callable[[DataFrame, str], None], checkpoint: str) -> StreamingQuery:
+    """Hand all files that have landed since the last run to ``append``, batch by batch, then stop."""
 
+    def take(batch: DataFrame, batch_id: int) -> None:
+        append(batch, f"{STREAMED}{batch_id:010d}")
 
-def read_log(spark: SparkSession, table: str, schema: StructType) -> DataFrame:
-    with_batch = StructType(list(schema.fields)).add(BATCH, "long")
-    return spark.read.schema(with_batch).parquet(log_path(table))
+    return stream.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def current(log: DataFrame, key: list[str], loaded_at: str = "loaded_at") -> DataFrame:
-    """Newest row of each key; equal load times are decided by the later batch."""
-    return latest(log, key, [loaded_at, BATCH]).drop(BATCH)
+def ingest(stream: DataFrame, append: Callable[[DataFrame, str], None], checkpoint: str) -> None:
+    start_ingest(stream, append, checkpoint).awaitTermination()

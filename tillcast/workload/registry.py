@@ -8,7 +8,6 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from tillcast import schemas
 from tillcast.contracts import load_marts
@@ -20,6 +19,7 @@ from tillcast.plans import core, marts, staging
 from tillcast.session import scratch, shared_dir, written
 from tillcast.sources import cities as city_source
 from tillcast.sources import ndjson, readers, snapshot, tables
+from tillcast.sources.log import Log
 from tillcast.sources.window import resolve_window
 from tillcast.streaming import ingest
 from tillcast.workload.standins import Inputs
@@ -459,11 +459,11 @@ def incremental_ingest(i: Inputs) -> DataFrame:
         "user_id", clock.hour_start(F.col("ts")).alias("issued_at"), "event_type", "value",
         F.col("ts").alias("loaded_at"),
     )
-    table = scratch(i.spark, "ingest")
-    ingest.ingest(hours, table)
-    ingest.ingest(hours, table)  # nothing new has landed: no change
-    log = ingest.read_log(i.spark, table, StructType(hours.schema.fields))
-    return ingest.current(log, ["user_id", "issued_at"])
+    root = scratch(i.spark, "ingest")
+    log = Log(i.spark, "ingest", f"hours_{run_id()}", ["user_id", "issued_at"], root)
+    for _ in range(2):  # the second time nothing new has landed: no change
+        ingest.ingest(hours, log.append, f"{root}/checkpoint")
+    return log.current()
 
 
 # --- files and publication ------------------------------------------------------------------------
