@@ -122,6 +122,11 @@ def may_hold(documents: DataFrame, days: set[int]) -> DataFrame:
     return near.where(F.arrays_overlap(spread, F.array(*[F.lit(d) for d in calendar])))
 
 
+def loads_near(loads: DataFrame, days: set[int]) -> DataFrame:
+    """Hourly loads whose hour lies on one of the days or next to it, in any zone."""
+    return may_hold(loads.withColumns({"period_start": F.to_date("measured_at"), "period_end": F.to_date("measured_at")}), days)
+
+
 # --- rows of the days -----------------------------------------------------------------------
 
 

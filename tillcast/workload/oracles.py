@@ -341,6 +341,19 @@ ORACLES = {
         from daily_mart where temperature_hours_count = 8""",
     "rollup_receipts": """
         select city_key, product_key, count(distinct sale_key) as receipts_count from sold group by all""",
+    # Lines without a receipt have no number; a group of nothing but them isn't there.
+    "receipt_bitmaps": """
+        select city_key, product_key, count(distinct sale_key) as receipts_count from sold
+        where sale_key in (select sale_key from receipts) group by all""",
+    "receipt_bitmaps_monthly": """
+        select city_key, cast(date_key // 100 as integer) as month_key, count(distinct sale_key) as receipts_count
+        from sold where sale_key in (select sale_key from receipts) group by all""",
+    "touched_days_refresh": "select * from daily_mart",
+    "resolved_log": """
+        select city_slug, period_start, period_end, loaded_at, measured_at, precipitation_mm, temperature_c,
+          surface_pressure_hpa, apparent_temperature_c
+        from (select *, row_number() over (partition by city_slug, measured_at order by loaded_at desc) as n from loads)
+        where n = 1""",
     # --- fan-out ---
     "sales_fanout": f"select {SYNTHETIC_COLUMNS} from synthetic",
     "fanout_audit": _audit(),
@@ -502,6 +515,7 @@ ORACLES = {
           count(distinct (city_key, date_key, product_key)) as distinct_keys, 0::bigint as null_rows,
           0::bigint as negative_rows
         from product_mart""",
+    "published_hours": "select * from hourly_mart",
     "published_rows": "select * from daily_mart",
 }
 

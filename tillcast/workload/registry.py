@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
-from datetime import date, datetime
+from dataclasses import replace
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,13 +13,14 @@ from pyspark.sql import functions as F
 from tillcast import schemas
 from tillcast.contracts import load_marts
 from tillcast.functions import clock, keys, money, payload
-from tillcast.operators import loads, publish, quality, rollups
+from tillcast.operators import bitmaps, loads, publish, quality, rollups
 from tillcast.operators.fanout import city_directory, fan_out_sales
 from tillcast.operators.upsert import upsert
-from tillcast.plans import core, marts, staging
+from tillcast.plans import core, marts, staging, touched
 from tillcast.session import scratch, shared_dir, written
 from tillcast.sources import cities as city_source
 from tillcast.sources import ndjson, readers, snapshot, tables
+from tillcast.sources.days import DayTable
 from tillcast.sources.log import Log
 from tillcast.sources.window import resolve_window
 from tillcast.streaming import ingest
@@ -118,6 +120,52 @@ def rollup_receipts(i: Inputs) -> DataFrame:
     return rollups.receipts(marts.items_with_sales(i.fct_items, i.receipts), ["city_key", "product_key"])
 
 
+@query
+def receipt_bitmaps(i: Inputs) -> DataFrame:
+    """Receipts by city and product from the words of a product-day mart; the lines are read once, for the mart."""
+    words = i.receipt_words
+    return bitmaps.receipts(words, ["city_key", "product_key"])
+
+
+@query
+def receipt_bitmaps_monthly(i: Inputs) -> DataFrame:
+    """Receipts by city and month, across products, where counts of products don't add up."""
+    months = i.receipt_words.withColumn("month_key", F.floor(F.col("date_key") / 100).cast("int"))
+    return bitmaps.receipts(months, ["city_key", "month_key"])
+
+
+@query
+def touched_days_refresh(i: Inputs) -> DataFrame:
+    """The daily mart after late loads: built without them, then only the days they touch are computed and replaced."""
+    root, run = scratch(i.spark, "touched"), run_id()
+    sales, loads = written(i.fct_sales, "receipts"), written(i.weather_loads, "loads")
+    newest = loads.agg(F.max("loaded_at")).first()[0]
+    late = F.col("loaded_at") >= F.lit(newest - timedelta(days=2)) if newest else F.lit(False)
+    weather = DayTable(i.spark, root, "touched", f"weather_{run}")
+    mart = DayTable(i.spark, root, "touched", f"daily_{run}")
+    weather.replace(core.fct_weather_hour(loads.where(~late), i.dim_city, i.event_dates), "1")
+    mart.replace(marts.mart_sales_weather_daily(sales, weather.read(), i.dim_city, i.event_dates), "1")
+    days = touched.days_of(core.fct_weather_hour(loads.where(late), i.dim_city, i.event_dates), "date_key")
+    near = core.fct_weather_hour(touched.loads_near(loads, days), i.dim_city, i.event_dates)
+    weather.replace(touched.on_days(near, "date_key", days), "2", days)
+    of_days = touched.on_days(sales, "date_key", days)
+    mart.replace(marts.mart_sales_weather_daily(of_days, weather.read(days), i.dim_city, i.event_dates), "2", days)
+    return mart.read()
+
+
+@query
+def resolved_log(i: Inputs) -> DataFrame:
+    """Weather loads appended to a keyed log in several batches, compacted in between, and resolved without an exchange."""
+    log = Log(i.spark, "logs", f"loads_{run_id()}", ["city_slug", "measured_at"], scratch(i.spark, "logs"))
+    loads = written(i.weather_loads, "loads")
+    hour = F.hour("loaded_at")
+    for batch, rows in enumerate((loads.where(hour >= 16), loads.where(hour < 8), loads.where((hour >= 8) & (hour < 16)))):
+        log.append(rows, f"{batch}")
+        if batch == 1:
+            log.compact("1c")
+    return log.current()
+
+
 # --- fan-out ---------------------------------------------------------------------------------
 
 
@@ -526,6 +574,18 @@ def publish_check(i: Inputs) -> DataFrame:
     return publish.verification(i.spark.table(f"{spec.layer}.{spec.table}"), spec)
 
 
+@query
+def published_hours(i: Inputs) -> DataFrame:
+    """Publish the hourly mart by day and read it; instants come back as UTC wall clocks."""
+    spec = load_marts()["mart_sales_weather_hourly"]
+    root, run = scratch(i.spark, "published"), run_id()
+    layer = f"published_{run}"
+    mart = DayTable(i.spark, root, layer, "source").replace(i.hourly_mart, run)
+    publish.publish_days(mart, replace(spec, layer=layer), root, run)
+    shown = i.spark.table(f"{layer}.{spec.table}")
+    return shown.withColumn("measured_at", clock.utc_wall(F.col("measured_at")))
+
+
 @query
 def published_rows(i: Inputs) -> DataFrame:
     """Publish the daily mart twice; readers see one copy of it."""

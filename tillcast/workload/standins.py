@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillcast.functions import clock, keys, money
+from tillcast.operators import bitmaps
 from tillcast.operators.fanout import fan_out_sales
 from tillcast.plans import core, marts, staging
 from tillcast.session import written
@@ -305,6 +306,13 @@ class Inputs:
 
     # --- marts ---
 
+    @cached_property
+    def receipt_words(self) -> DataFrame:
+        """Receipts of each city, day and product as bits."""
+        numbers = written(bitmaps.numbered(self.receipts, ["city_key", "date_key"]), "receipt-numbers")
+        sold = marts.items_with_sales(self.fct_items, self.receipts)
+        return written(bitmaps.receipt_words(sold, numbers, ["city_key", "date_key", "product_key"]), "receipt-words")
+
     @cached_property
     def daily_mart(self) -> DataFrame:
         return marts.mart_sales_weather_daily(self.fct_sales, self.fct_weather, self.dim_city, self.event_dates)
