@@ -257,9 +257,11 @@ def test_pipeline(spark, edges, rows):
     for name, stage in corpus_pipeline.STAGES:
         docs = corpus_pipeline.written(stage(spark, docs, edges))
         ids[name] = Counter(r["doc_id"] for r in docs.select("doc_id").collect())
+        if name != "mixing":
+            assert all(len(WORD.findall(r["text"] or "")) >= 20 for r in docs.select("text").collect()), name
         assert name == "mixing" or docs.columns == columns
     assert not set(ids["quality_rules"]) & set(range(90, 110)) and set(range(60)) - {38} <= set(ids["quality_rules"])
-    assert ids["quality_rules"] == ids["line_dedup"]
+    assert ids["line_dedup"] <= ids["quality_rules"]
     kept = set(ids["near_duplicates"])
     assert kept & set(range(110, 118)) == {110} and max(ids["near_duplicates"].values()) == 1
     assert 125 not in ids["decontamination"] and set(ids["near_duplicates"]) - {125} == set(ids["decontamination"])

@@ -89,3 +89,38 @@ def test_mixing_meets_targets_far_above_a_share(spark):
     tokens = sum(r["n_tokens"] for r in found)
     assert sum(r["rate"] * r["n_tokens"] * r["p_toxic"] for r in found) / tokens == pytest.approx(0.6, rel=1e-4)
     assert max(r["rate"] for r in found) > 20 and min(r["rate"] for r in found) >= 0
+
+
+def test_mixing_with_most_rates_at_zero_takes_few_passes(spark, monkeypatch):
+    text = lambda k, name: " ".join(f"{name}{(k + j) % 20}" for j in range(200))
+    both = lambda k: text(k, "calm")[: 40 * (k % 30)] + " " + text(k, "rude")[: 40 * (30 - k % 30)]
+    data = [(k, both(k), "good" if k % 30 > 20 else "toxic" if k % 30 < 5 else None) for k in range(900)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, domain string")
+    passes, look = [], mixing.look
+    monkeypatch.setattr(mixing, "look", lambda *args: passes.append(1) or look(*args))
+    found = mixing.mix(docs.select("doc_id", "text"), docs.select("doc_id", "domain").where("domain is not null"), {"good": 0.03, "toxic": 0.97}).collect()
+    tokens = sum(r["n_tokens"] for r in found)
+    assert sum(r["rate"] == 0 for r in found) > 450 and len(passes) <= 20
+    for domain, part in (("good", 0.03), ("toxic", 0.97)):
+        assert sum(r["rate"] * r["n_tokens"] * r[f"p_{domain}"] for r in found) / tokens == pytest.approx(part, abs=1e-6)
+
+
+def test_mixing_ends_near_targets_out_of_reach(spark):
+    data = [(k, f"calm day {k % 7} rude" if k % 2 else "calm day here", "good" if k % 2 else "toxic") for k in range(60)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, domain string")
+    found = mixing.mix(docs.select("doc_id", "text"), docs.select("doc_id", "domain"), {"good": 0.0, "toxic": 1.0}).collect()
+    assert len(found) == 60 and all(0 <= r["rate"] < 1e6 for r in found)
+
+
+def test_near_copies_that_lose_lines_are_one_document(spark, tmp_path):
+    lines = [T.prose(900 + k, 12) for k in range(40)]
+    copies = {k: "\n".join([*lines, f"{T.prose(950 + k, 30)}"]) for k in range(300, 306)}
+    rows = [r for r in T.documents() if r["doc_id"] is not None and r["doc_id"] < 60]
+    rows += [{"doc_id": k, "text": t, "lang": "en", "source": "s", "n_chars": len(t)} for k, t in copies.items()]
+    folder = T.folder(tmp_path, rows)
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[1:3]:
+        docs = corpus_pipeline.written(stage(spark, docs, folder))
+    kept = {r["doc_id"]: r["text"] for r in docs.collect()}
+    assert [k for k in kept if k >= 300] == [300] and kept[300] == copies[300]
+    assert set(range(60)) - {38} <= set(kept) | {38}

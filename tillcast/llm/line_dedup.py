@@ -154,14 +154,20 @@ def with_bitmaps(documents: DataFrame) -> DataFrame:
     return documents.join(maps, F.col("doc_id").cast("long").eqNullSafe(F.col("_tillcast_id")) & (F.xxhash64("text") == F.col("_tillcast_key")), "left").drop("_tillcast_id", "_tillcast_key")
 
 
-def dedup_lines(documents: DataFrame) -> DataFrame:
-    """The documents with repeated lines cut from their texts; other columns as they are."""
+def dedup_lines(documents: DataFrame, least_words: int = 0) -> DataFrame:
+    """The documents with repeated lines cut from their texts; other columns as they are.
+
+    A document that loses a line and has fewer than ``least_words`` words left goes as well.
+    """
     names = documents.columns
 
     def make():
         def step(rows):
-            rows["text"] = [kept_text(t, k) for t, k in zip(rows["text"], rows["_tillcast_keep"], strict=True)]
-            return {n: rows[n] for n in names}
+            keeps = rows["_tillcast_keep"]
+            texts = [kept_text(t, k) for t, k in zip(rows["text"], keeps, strict=True)]
+            stays = [k is None or not least_words or len(t.encode("utf-8", "surrogatepass").split()) >= least_words for t, k in zip(texts, keeps, strict=True)]
+            rows["text"] = texts
+            return {n: [x for x, stay in zip(rows[n], stays, strict=True) if stay] for n in names}
 
         return step
 

@@ -365,9 +365,14 @@ def links(documents: DataFrame, representatives: DataFrame) -> DataFrame:
     return written(verified(in_block_pairs(sets, "node", "part").select("part", "i", "j", "block", "node", "copies", "keys")))
 
 
-def classes(documents: DataFrame) -> DataFrame:
-    """(doc_id, text_key, label, class_id, n_links) for each row; a class has a label of its own."""
+def classes(documents: DataFrame, among: DataFrame | None = None) -> DataFrame:
+    """(doc_id, text_key, label, class_id, n_links) for each row; a class has a label of its own.
+
+    With ``among``, rows of other ids are left out, before anything is compared and without moving a text.
+    """
     rows = signed(documents)
+    if among is not None:
+        rows = written(rows.join(among.select(F.col("doc_id").cast("long").alias("doc_id")), "doc_id", "left_semi"))
     groups = rows.where("n > 0").groupBy("k1", "k2").agg(F.min("row").alias("rep"), F.count("*").alias("copies"), F.min("doc_id").alias("least"))
     groups = written(groups)
     chosen = rows.select(F.col("row").alias("rep"), "doc_id", "text_key", "n", "signature").join(groups.select("rep", "copies"), "rep")
@@ -398,5 +403,28 @@ def one_of_each(documents: DataFrame) -> DataFrame:
     return kept.dropDuplicates(["doc_id", "_tillcast_key"]).drop("_tillcast_key")
 
 
+def held_once(documents: DataFrame) -> DataFrame:
+    """Ids that one row has."""
+    return documents.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n = 1").select("doc_id")
+
+
+def one_of_each_uncut(documents: DataFrame, whole: DataFrame) -> DataFrame:
+    """As ``one_of_each``, but judged by the texts that ``whole`` holds, of which ``documents`` may keep a part only.
+
+    Rows whose id isn't held once on both sides are judged by their own texts, together with the others.
+    """
+    once = written(held_once(documents).join(held_once(whole), "doc_id", "left_semi"))
+    others = documents.join(once, "doc_id", "left_anti")
+    if others.select("doc_id").isEmpty():
+        found = classes(whole.select("doc_id", "text"), once).select("doc_id", "label")
+        first = found.groupBy("label").agg(F.min("doc_id").alias("_tillcast_keep_id"))
+        return documents.join(first.select("_tillcast_keep_id"), F.col("doc_id").cast("long") == F.col("_tillcast_keep_id"), "left_semi")
+    text = documents.schema["text"].dataType
+    own = whole.join(once, "doc_id", "left_semi").select("doc_id", F.col("text").cast(text).alias("_tillcast_whole"))
+    judged = written(documents.withColumnRenamed("text", "_tillcast_text").join(own, "doc_id", "left").withColumn("text", F.coalesce("_tillcast_whole", "_tillcast_text")))
+    kept = one_of_each(judged).withColumn("text", F.col("_tillcast_text"))
+    return kept.select(*documents.columns)
+
+
 def op10_jaccard_join(spark, folder: str) -> DataFrame:
     return classes(table(spark, folder, "documents")).select("doc_id", "class_id", "n_links")
