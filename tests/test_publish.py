@@ -104,8 +104,8 @@ def test_clustered_by_the_sort_key(rows, spec):
 
 
 def test_identifier():
-    assert identifier("mart_sales_daily") == "mart_sales_daily"
-    for value in ["a; drop table x", "a.b", "", "a b", "1a", "a\n"]:
+    assert identifier("_till_2") == "_till_2"
+    for value in ["2till", "till-2", "till`2", "till\n", "'", "t\u00edll"]:
         with pytest.raises(ValueError):
             identifier(value)
 
@@ -123,7 +123,7 @@ def test_the_shipped_contracts(spark):
         ({"table": "a b"}, "not an identifier"),
         ({"unique_key": []}, "no unique key"),
         ({"sum_columns": ["nope"]}, "unknown columns"),
-        ({"unique_key": ["a; drop table x"]}, "unknown columns"),
+        ({"unique_key": ["city_key`, 1"]}, "unknown columns"),
         ({"schema_file": "../x.ddl"}, "not a schema file name"),
         ({"schema_file": "x.sql"}, "not a schema file name"),
         ({"schema_file": "absent.ddl"}, "missing"),
