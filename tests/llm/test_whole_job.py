@@ -124,3 +124,16 @@ def test_near_copies_that_lose_lines_are_one_document(spark, tmp_path):
     kept = {r["doc_id"]: r["text"] for r in docs.collect()}
     assert [k for k in kept if k >= 300] == [300] and kept[300] == copies[300]
     assert set(range(60)) - {38} <= set(kept) | {38}
+
+
+def test_blocks_of_test_items_are_bounded(spark):
+    from tillcast.llm import decontaminate
+
+    same = [(1, "alpha beta gamma " * 10)] * 2000
+    others = [(k, T.prose(k, 40)) for k in range(2, 300)]
+    large = [(999, T.prose(7, 4000))]
+    items = spark.createDataFrame(same + others + large, "item_id long, text string")
+    blocks = list(decontaminate.item_blocks(items, 8000))
+    assert sorted(x for b in blocks for x in b) == sorted((str(k), t) for k, t in set(same + others + large))
+    sizes = [sum(len(t.encode()) + 64 for _, t in b) for b in blocks]
+    assert sum(s > 8000 for s in sizes) == 1 and len(blocks) < 20

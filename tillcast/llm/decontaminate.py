@@ -29,6 +29,8 @@ from tillcast.llm.common import filter_slices, map_slices, table, written
 WINDOW = 10
 #: Most bytes of test text in a block, which is what a task holds of the test set.
 BLOCK_BYTES = 16 << 20
+#: Cells of items that a block is made of.
+CELLS = 64
 
 #: Bytes that are no part of a word become spaces; A-Z become a-z.
 WORD_BYTES = bytes(
@@ -167,14 +169,34 @@ def passed(documents: DataFrame, rows: list[tuple]) -> DataFrame:
     return map_slices(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), make, FOUND)
 
 
+def packed(sizes: list[tuple[int, int]], most: int) -> Iterator[tuple[int, int]]:
+    """Ranges (first, last) of cells, given in order with their bytes, of at most ``most`` bytes or of one cell."""
+    first = last = None
+    held = 0
+    for cell, size in sizes:
+        if first is not None and held + size > most:
+            yield first, last
+            first, held = None, 0
+        first = cell if first is None else first
+        last, held = cell, held + size
+    if first is not None:
+        yield first, last
+
+
 def item_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple]]:
-    """Rows of the test set in blocks of whole items by a hash of their row; each is read on its own."""
-    items = benchmark.where("text is not null").select(F.col("item_id").cast("string").alias("item_id"), "text")
-    size = items.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
-    blocks = -(-size // block_bytes) or 1
-    of = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
-    for k in range(blocks):
-        yield [tuple(r) for r in items.where(of == k).collect()]
+    """Distinct rows of the test set in blocks of whole items, read one after another.
+
+    Items are hashed to CELLS cells a block; neighbouring cells make a block as long as their bytes fit. Only an item
+    that is larger than a block, or shares its cell with such, makes a larger one.
+    """
+    items = benchmark.where("text is not null").select(F.col("item_id").cast("string").alias("item_id"), "text").distinct()
+    bytes_of = F.octet_length("text") + 64
+    total = items.agg(F.sum(bytes_of)).first()[0] or 0
+    cell = F.pmod(F.xxhash64("item_id", "text"), F.lit(CELLS * max(1, -(-total // block_bytes))))
+    sizes = sorted(tuple(r) for r in items.groupBy(cell.alias("cell")).agg(F.sum(bytes_of)).collect())
+    ranges = list(packed(sizes, block_bytes)) if total > block_bytes else [(0, CELLS)]
+    for first, last in ranges:
+        yield [tuple(r) for r in items.where(cell.between(first, last)).collect()]
 
 
 def find_matches(documents: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
