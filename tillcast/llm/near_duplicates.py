@@ -1,9 +1,10 @@
-"""Operator 10, n-gram Jaccard join: MinHash LSH forest with exact verification.
+"""Operator 10, n-gram Jaccard join: MinHash labels in many trees, with exact verification.
 
 A text's shingles are its runs of five words, A-Z lowered; a shorter text is one shingle. Texts with equal shingle sets
-are copies and join as one representative. Each representative gets TREES labels of LABEL minhash values. A tree is its
-labels sorted, that is, a prefix trie in order; texts meet where they share a prefix, and the prefix is shortened from
-the whole label until a pair at the threshold meets in some tree with the target recall. Meetings whose signatures agree
+are copies and join as one representative. Each representative gets TREES labels of LABEL minhash values, and texts meet
+where they share a label's prefix in a tree. The prefix length follows from trees, threshold and target recall; with the
+constants here it is the whole label, so this is banding and no forest that shortens prefixes as it searches. A very
+long text is one set of shingles like others. Meetings whose signatures agree
 too little are dropped; the others' connected parts are verified exactly, shingle set against shingle set, in blocks of
 bounded size. Links are counted inside the blocks; only counts and spanning edges leave them, never all pairs.
 
