@@ -1,23 +1,27 @@
-"""Operator 10, n-gram Jaccard join: MinHash labels in many trees, with exact verification.
+"""Operator 10, n-gram Jaccard join: a MinHash LSH forest with exact verification.
 
 A text's shingles are its runs of five words, A-Z lowered; a shorter text is one shingle. Texts with equal shingle sets
-are copies and join as one representative. Each representative gets TREES labels of LABEL minhash values, and texts meet
-where they share a label's prefix in a tree. The prefix length follows from trees, threshold and target recall; with the
-constants here it is the whole label, so this is banding and no forest that shortens prefixes as it searches. A very
-long text is one set of shingles like others. Meetings whose signatures agree
-too little are dropped; the others' connected parts are verified exactly, shingle set against shingle set, in blocks of
-bounded size. Links are counted inside the blocks; only counts and spanning edges leave them, never all pairs.
+are copies and join as one representative. Each representative has a label of LABEL minhash values in each of TREES trees.
+A tree is its labels in sorted order, that is a prefix trie; the order, range-partitioned, tells how deep each label
+shares its branch with a neighbour. Texts first meet on whole labels. Then the matched prefix is shortened until the share
+of links found reaches RECALL, as estimated from verified pairs close to the threshold: those that one half of the trees
+finds tell what the other half misses. While too few such pairs are known, one of exactly SIMILAR is assumed to exist.
 
-In a large meeting each text is compared with the meeting's least one; only if some are unlike it are all of the meeting
-compared, in blocks of bounded size as well.
+Meetings whose signatures agree too little are dropped; the others' connected parts are verified exactly, shingle set
+against shingle set, in blocks of bounded size. Links are counted inside the blocks; only counts and spanning edges leave
+them, never all pairs. In a large meeting each text is compared with the meeting's least one; only if some are unlike it
+are all of the meeting compared, in blocks of bounded size as well.
 
 One row per row of the input: class id (least document id among all linked, directly or not, copies included) and the
-number of other rows that are linked directly. A null or empty text has no shingle: a class of its own, no link. Repeated
-rows are copies of each other. A null id can be linked; a class of null ids only has a null id. No rows give no rows.
+number of other rows that are linked directly. A null or empty text has no shingle: a class of its own, no link. A very
+long text is one set of shingles like others. Repeated rows are copies of each other. A null id can be linked; a class of
+null ids only has a null id. Ties in order are broken by row. No rows give no rows.
 """
 
 from __future__ import annotations
 
+import logging
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -25,28 +29,49 @@ from pyspark.sql import functions as F
 
 from tillcast.llm.common import encode, map_slices, mixed, owners, table, windows, written
 
+LOG = logging.getLogger(__name__)
+
 #: Words of a shingle, least similarity of a link, and least share of links at that similarity that must meet.
 WORDS, SIMILAR, RECALL = 5, 0.8, 0.999
-#: Trees and values of a label.
-TREES, LABEL = 40, 8
+#: Trees, values of a label, and how many of these no other tree has.
+TREES, LABEL, OWN = 40, 16, 8
+#: Shortest prefix, and verified pairs near the threshold from which on their recall is measured.
+SHORTEST, MEASURED = 4, 1000
+#: Agreement of signatures of a pair near the threshold.
+NEAR = (SIMILAR - 0.02, SIMILAR + 0.04)
 #: Least agreement of signatures of a pair that is verified: over six standard deviations below SIMILAR.
 AGREE = 0.65
 #: A meeting of at most so many texts compares all pairs; a block of a larger one holds about so many.
 SMALL, MET_BLOCK = 16, 512
 #: A block of a connected part holds about so many texts, and so many shingles.
 BLOCK_TEXTS, BLOCK_SHINGLES = 128, 1 << 18
-#: Shingles hashed at once, and rows of one meeting that a task holds.
+#: Shingles hashed at once, and rows of small meetings that a task pairs at once.
 CHUNK, HELD = 1 << 16, 1 << 16
 
 SIGNED = "doc_id long, text_key long, row long, n long, k1 long, k2 long, signature binary"
 
 
-def prefix_length(trees: int = TREES, label: int = LABEL, similar: float = SIMILAR, recall: float = RECALL) -> int:
-    """The longest prefix at which a pair of the given similarity meets in some tree with the given recall."""
-    for size in range(label, 0, -1):
-        if 1 - (1 - similar**size) ** trees >= recall:
-            return size
-    raise ValueError("too few trees for this recall")
+def found_share(similar: float, size: int, trees: int = TREES) -> float:
+    """Share of pairs of this similarity that meet at a prefix of ``size`` values in some tree."""
+    return 1 - (1 - similar**size) ** trees
+
+
+def recall(size: int, pairs: int, first: int, second: int, both: int) -> tuple[float, float]:
+    """Share of links near the threshold that meet at this prefix length, and the similarity this speaks of.
+
+    Of ``pairs`` such pairs the first half of the trees found ``first``, the second half ``second``, and ``both`` are in
+    both: what each half finds of the other's pairs is its own share. Few pairs say nothing on a small share that is missed.
+    """
+    if pairs < MEASURED:
+        return found_share(SIMILAR, size), SIMILAR
+    halves = both / max(1, second), both / max(1, first)
+    missed = (1 - halves[0]) * (1 - halves[1])
+    return 1 - missed, (1 - missed ** (1 / TREES)) ** (1 / size)
+
+
+def shorter(size: int, similar: float) -> int:
+    """The longest prefix below ``size`` at which pairs of this similarity would meet well enough."""
+    return max((k for k in range(SHORTEST, size) if found_share(similar, k) >= RECALL), default=SHORTEST)
 
 
 def shingle_sets(texts: list) -> tuple[np.ndarray, np.ndarray]:
@@ -102,7 +127,7 @@ def signed(documents: DataFrame) -> DataFrame:
     """Each row with its shingle count, a 128-bit key of its shingle set, and its signature."""
 
     def make():
-        factors, offsets = multipliers(TREES * LABEL)
+        factors, offsets = multipliers(TREES * OWN)
 
         def step(rows):
             keys, counts = shingle_sets(rows["text"])
@@ -140,61 +165,126 @@ def streamed_groups(batches, key: list[str], solve, schema: pa.Schema):
         yield pa.RecordBatch.from_pydict(solve(pa.Table.from_batches(held)), schema=schema)
 
 
-def meetings(labels: DataFrame) -> DataFrame:
-    """Pairs to compare (a, b, bucket) from labels (bucket, node) sorted within partitions.
+def label_places() -> np.ndarray:
+    """For each tree, which values of a signature its label reads: its own first, then one each of other trees."""
+    tree, place = np.arange(TREES)[:, None], np.arange(LABEL)[None, :]
+    lent = (tree + 1 + (TREES // (LABEL - OWN)) * (place - OWN)) % TREES
+    return np.where(place < OWN, tree * OWN + place, lent * OWN + (place - OWN) % OWN)
 
-    In a small meeting all meet; in a large one, which sets ``bucket``, each meets the least node.
-    """
 
-    def pairs(bucket, nodes, large, out):
-        m = len(nodes)
-        if m <= SMALL and not large:
-            i, j = np.triu_indices(m, 1)
-            out.append((np.minimum(nodes[i], nodes[j]), np.maximum(nodes[i], nodes[j]), np.full(len(i), bucket), np.zeros(len(i), bool)))
-        else:
-            out.append((np.full(m - 1, nodes[0]), nodes[1:], np.full(m - 1, bucket), np.ones(m - 1, bool)))
+def labels(representatives: DataFrame) -> DataFrame:
+    """(node, tree, high, low): a byte of each value of a label, the earliest the highest."""
+
+    def make():
+        places = label_places()
+
+        def step(rows):
+            n = len(rows["rep"])
+            values = np.ascontiguousarray(np.frombuffer(b"".join(rows["signature"]), np.uint16).reshape(n, -1)[:, places].astype(np.uint8))
+            high, low = np.moveaxis(values.view(">i8").astype(np.int64), 2, 0)
+            return {"node": np.repeat(np.array(rows["rep"], np.int64), TREES), "tree": np.tile(np.arange(TREES, dtype=np.int8), n), "high": high.ravel(), "low": low.ravel()}
+
+        return step
+
+    return map_slices(representatives.select("rep", "signature"), make, "node long, tree byte, high long, low long", text="")
 
-    def rows(out):
-        a, b, bucket, large = (np.concatenate(x) for x in zip(*out, strict=True))
-        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(bucket, mask=~large)], ["a", "b", "bucket"])
+
+def shared_values(tree: np.ndarray, high: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """How many first values each label shares with the one after it."""
+
+    def leading(x):
+        return sum((x >> np.uint64(64 - 8 * k) == 0).astype(np.int8) for k in range(1, 8)) + (x == 0)
+
+    top, rest = ((x[1:] ^ x[:-1]).view(np.uint64) for x in (high, low))
+    return np.where(tree[1:] != tree[:-1], 0, np.where(top != 0, leading(top), 8 + leading(rest)))
+
+
+def forest(representatives: DataFrame) -> DataFrame:
+    """Labels in the order of their trees with ``depth``, the most first values shared with a neighbour; those of SHORTEST or more.
+
+    Any label that shares a prefix has a neighbour that does. The node is part of the order, so a range boundary may cut a
+    hot label; the outermost rows of a partition, whose neighbour is elsewhere, count as deep.
+    """
+    columns = ["node", "tree", "high", "low"]
 
     def run(batches):
-        bucket, nodes, large = np.zeros(0, np.int64), np.zeros(0, np.int64), False
+        held, before = None, LABEL
         for batch in batches:
-            bucket = np.concatenate([bucket, batch.column("bucket").to_numpy()])
-            nodes = np.concatenate([nodes, batch.column("node").to_numpy()])
-            if not len(bucket):
+            if not batch.num_rows:
                 continue
-            heads = np.flatnonzero(np.concatenate([[True], np.diff(bucket) != 0]))
-            sizes, out = np.diff(np.append(heads, len(bucket))), []
-            for k in np.flatnonzero(sizes[:-1] > 1):
-                pairs(bucket[heads[k]], nodes[heads[k] : heads[k] + sizes[k]], large and k == 0, out)
-            large = large and len(heads) == 1
-            bucket, nodes = bucket[heads[-1] :], nodes[heads[-1] :]
-            if len(nodes) > HELD:
-                pairs(bucket[0], nodes, True, out)
-                bucket, nodes, large = bucket[:1], nodes[:1], True
-            if out:
-                yield rows(out)
-        if len(nodes) > 1:
-            out = []
-            pairs(bucket[0], nodes, large, out)
-            yield rows(out)
-
-    return labels.mapInArrow(run, "a long, b long, bucket long")
+            node, tree, high, low = (batch.column(c).to_numpy() for c in columns)
+            if held is not None:
+                node, tree, high, low = (np.concatenate([h, x]) for h, x in zip(held, (node, tree, high, low), strict=True))
+            near = shared_values(tree, high, low)
+            depth = np.maximum(np.concatenate([[before], near[:-1]]), near) if len(near) else near
+            keep = np.flatnonzero(depth >= SHORTEST)
+            yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (node, tree, high, low)] + [pa.array(depth[keep].astype(np.int8))], [*columns, "depth"])
+            held, before = [x[-1:] for x in (node, tree, high, low)], int(near[-1]) if len(near) else before
+        if held is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in held] + [pa.array([LABEL], pa.int8())], [*columns, "depth"])
+
+    order = ["tree", "high", "low", "node"]
+    ordered = labels(representatives).repartitionByRange(*order).sortWithinPartitions(*order)
+    return written(ordered.mapInArrow(run, "node long, tree byte, high long, low long, depth byte"))
+
+
+def small_meetings(branches: DataFrame) -> DataFrame:
+    """All pairs (a, b, half) of meetings (bucket, node, half) of at most SMALL nodes, sorted within partitions."""
+
+    def pairs(bucket, node, half):
+        heads = np.flatnonzero(np.concatenate([[True], np.diff(bucket) != 0]))
+        sizes = np.diff(np.append(heads, len(bucket)))
+        out = [(np.zeros(0, np.int64),) * 2]
+        for size in np.unique(sizes[sizes > 1]):
+            i, j = np.triu_indices(size, 1)
+            starts = heads[sizes == size][:, None]
+            out.append(((starts + i).ravel(), (starts + j).ravel()))
+        i, j = (np.concatenate(x) for x in zip(*out, strict=True))
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(node[i], node[j])), pa.array(np.maximum(node[i], node[j])), pa.array(half[i])], ["a", "b", "half"])
+
+    def run(batches):
+        held = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int8)]
+        for batch in batches:
+            held = [np.concatenate([h, batch.column(c).to_numpy()]) for h, c in zip(held, ("bucket", "node", "half"), strict=True)]
+            if len(held[0]) > HELD:
+                last = int(np.flatnonzero(held[0] != held[0][-1])[-1]) + 1 if (held[0] != held[0][-1]).any() else 0
+                yield pairs(*(h[:last] for h in held))
+                held = [h[last:] for h in held]
+        if len(held[0]):
+            yield pairs(*held)
+
+    return branches.repartition("bucket").sortWithinPartitions("bucket", "node").mapInArrow(run, "a long, b long, half byte")
+
+
+def meetings(trees: DataFrame, size: int) -> DataFrame:
+    """Pairs to compare (a, b, half, bucket) of nodes whose labels share ``size`` values; ``half`` tells which trees.
+
+    In a small meeting all meet. In a large one, which sets ``bucket``, each meets the least node: those rows come from a
+    join with the meeting's least node, which Spark may split, so no task has to hold a hot meeting.
+    """
+    mask = lambda n: F.lit(-1 if n >= 8 else -(1 << (64 - 8 * n)) if n > 0 else 0).cast("long")
+    prefix = F.xxhash64("tree", F.col("high").bitwiseAND(mask(size)), F.col("low").bitwiseAND(mask(size - 8)))
+    half = F.when(F.col("tree") < TREES // 2, 1).otherwise(2).cast("byte").alias("half")
+    branches = trees.where(F.col("depth") >= size).select(prefix.alias("bucket"), "node", half)
+    groups = written(branches.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("least")).where("n > 1"))
+    met = branches.join(groups.where(F.col("n") > SMALL).select("bucket", "least"), "bucket").where("node != least")
+    large = met.select(F.col("least").alias("a"), F.col("node").alias("b"), "half", "bucket")
+    small = small_meetings(branches.join(groups.where(F.col("n") <= SMALL).select("bucket"), "bucket", "left_semi"))
+    return written(large.unionByName(small.withColumn("bucket", F.lit(None).cast("long"))))
 
 
 def agreeing(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
-    """The pairs (a, b) with the agreement of their signatures."""
+    """The pairs (a, b, halves) with the agreement of their signatures."""
     left = signatures.select(F.col("rep").alias("a"), F.col("signature").alias("one"))
     right = signatures.select(F.col("rep").alias("b"), F.col("signature").alias("two"))
 
     def run(batches):
         for batch in batches:
             one, two = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(batch.num_rows, -1) for c in ("one", "two"))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array((one == two).mean(axis=1) if batch.num_rows else np.zeros(0))], ["a", "b", "agree"])
+            agree = (one == two).mean(axis=1) if batch.num_rows else np.zeros(0)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("a", "b", "halves")), pa.array(agree)], ["a", "b", "halves", "agree"])
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "one", "two").mapInArrow(run, "a long, b long, agree double")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "halves", "one", "two").mapInArrow(run, "a long, b long, halves byte, agree double")
 
 
 def connected(like) -> np.ndarray:
@@ -246,15 +336,21 @@ def in_block_pairs(rows: DataFrame, node: str, *key: str) -> DataFrame:
 
 def candidates(representatives: DataFrame) -> DataFrame:
     """Edges (a, b) that connect all representatives which may be alike."""
-    size = 2 * prefix_length()
-    trees = representatives.select("rep", "signature", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
-    label = trees.select(F.col("rep").alias("node"), "tree", F.expr(f"substring(signature, tree * {2 * LABEL} + 1, {2 * LABEL})").alias("label"))
-    label = label.select(F.xxhash64("tree", F.expr(f"substring(label, 1, {size})")).alias("bucket"), "node")
-    met = written(meetings(label.repartition("bucket").sortWithinPartitions("bucket", "node")))
-    pairs = written(met.select("a", "b").distinct())
-    nodes = pairs.select(F.col("a").alias("rep")).union(pairs.select(F.col("b").alias("rep"))).distinct()
-    signatures = written(representatives.select("rep", "signature").join(nodes, "rep"))
-    compared = written(agreeing(pairs, signatures))
+    trees, size = forest(representatives), LABEL
+    while True:
+        met = meetings(trees, size)
+        pairs = written(met.groupBy("a", "b").agg(F.bit_or("half").alias("halves")))
+        nodes = pairs.select(F.col("a").alias("rep")).union(pairs.select(F.col("b").alias("rep"))).distinct()
+        signatures = written(representatives.select("rep", "signature").join(nodes, "rep"))
+        compared = written(agreeing(pairs, signatures))
+        near = compared.where(F.col("agree").between(*NEAR)).agg(
+            F.count("*"), F.count_if(F.col("halves") != 2), F.count_if(F.col("halves") != 1), F.count_if(F.col("halves") == 3)
+        )
+        share, similar = recall(size, *near.first())
+        LOG.info("prefix of %d values: recall %.5f near the threshold", size, share)
+        if share >= RECALL or size == SHORTEST:
+            break
+        size = shorter(size, similar)
     agreed = compared.where(F.col("agree") >= AGREE).select("a", "b")
     # Where some of a large meeting don't agree with its least node, all of the meeting are compared, in blocks.
     large = met.where("bucket is not null")
