@@ -18,16 +18,16 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillcast.llm.common import encode, filter_slices, labelled_sample, map_slices, mixed, owners, table, windows, written
+from tillcast.llm.common import encode, filter_slices, map_slices, mixed, owners, table, windows, written
 
 #: Hash buckets; both multinomials have this size whatever the corpus.
 BUCKETS = 1 << 16
-#: Most trusted documents that the target is fitted on, in hash order of their ids.
-TRUSTED_ROWS = 20_000
 #: Added to each count.
 SMOOTHING = 1.0
 #: The least score of a kept document lies this far under a low quantile of the trusted documents' own scores.
 LOW, MARGIN = 0.005, 0.12
+#: Steps to one unit of score in the histogram that the quantile is read from.
+STEPS = 1024
 #: Base rules: least words, and most percent of words in repeated windows.
 LEAST_WORDS, MOST_REPEATED, WINDOW = 20, 30, 8
 
@@ -35,8 +35,8 @@ SYMBOLS = b"#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
 
 SCORED = (
-    "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-    "base_failed boolean, kept boolean, score double"
+    "doc_id long, text_key string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
+    "base_failed boolean, n_grams long, score double"
 )
 
 
@@ -74,8 +74,8 @@ def keyed(documents: DataFrame) -> DataFrame:
 
 def distinct_texts(documents: DataFrame, trusted: DataFrame) -> DataFrame:
     """(text, trusted) of each distinct text; it is trusted if one of its copies is."""
-    texts, ids = keyed(documents), F.broadcast(trusted.select("doc_id").distinct())
-    own = texts.select("doc_id", "text_key").join(ids, "doc_id").select("text_key").distinct().withColumn("trusted", F.lit(True))
+    texts = keyed(documents)
+    own = texts.select("doc_id", "text_key").join(trusted, "doc_id").select("text_key").distinct().withColumn("trusted", F.lit(True))
     once = texts.groupBy("text_key").agg(F.first("text").alias("text"))
     return once.join(own, "text_key", "left").select("text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
 
@@ -125,22 +125,38 @@ def scores(texts: list, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.bincount(of, weights[at], minlength=len(texts)) / np.maximum(grams, 1), grams
 
 
-def least_score(documents: DataFrame, trusted: DataFrame, weights: np.ndarray) -> float:
-    """The threshold: LOW quantile of the scores of the distinct trusted texts, which are bounded, less MARGIN."""
-    held = documents.sparkSession.sparkContext.broadcast(weights)
+def least_score(scored: DataFrame, trusted: DataFrame) -> float:
+    """The threshold: LOW quantile of the scores of all distinct trusted texts, less MARGIN.
 
-    def step(rows):
-        score, grams = scores(rows["text"], held.value)
-        some = np.flatnonzero(grams >= LEAST_WORDS)
-        return {"text_key": [rows["text_key"][k] for k in some], "score": score[some]}
+    ``scored`` has (doc_id, text_key, n_grams, score) of every document. Scores are counted in steps, so the quantile is
+    the lower end of its step; a score is a mean of bounded ratios, so there are some ten thousand steps at any size.
+    """
+    known = scored.where((F.col("n_grams") >= LEAST_WORDS) & F.col("score").isNotNull())
+    own = known.join(trusted, "doc_id").select("text_key", F.floor(F.col("score") * STEPS).alias("step")).distinct()
+    counts = sorted(own.groupBy("step").agg(F.count("*").alias("n")).collect())
+    wanted = LOW * sum(n for _, n in counts)
+    for step, n in counts:
+        wanted -= n
+        if wanted <= 0:
+            return step / STEPS - MARGIN
+    return -np.inf
 
-    texts = keyed(documents).join(F.broadcast(trusted.select("doc_id").distinct()), "doc_id").select("text_key", "text")
-    scored = map_slices(texts, lambda: step, "text_key string, score double").groupBy("text_key").agg(F.min("score").alias("score"))
-    own = np.array([r["score"] for r in scored.select("score").collect()])
-    return float(np.quantile(own, LOW)) - MARGIN if len(own) else -np.inf
 
+def with_scores(documents: DataFrame, weights) -> DataFrame:
+    """(doc_id, text_key, n_grams, score) of the documents that have a text."""
 
-def measures(texts: list, weights: np.ndarray, least: float) -> dict:
+    def make():
+        def step(rows):
+            score, grams = scores(rows["text"], weights.value)
+            return {"doc_id": rows["doc_id"], "text_key": rows["text_key"], "n_grams": grams, "score": score}
+
+        return step
+
+    texts = keyed(documents).withColumn("doc_id", F.col("doc_id").cast("long"))
+    return map_slices(texts, make, "doc_id long, text_key string, n_grams long, score double")
+
+
+def measures(texts: list, weights: np.ndarray) -> dict:
     ids, counts, _ = encode(texts)
     score, grams = scores(texts, weights)
     repeats = repeated_words(ids, counts)
@@ -153,32 +169,45 @@ def measures(texts: list, weights: np.ndarray, least: float) -> dict:
         "n_dup_lines": [repeated_lines(t) for t in texts],
         "n_repeat_words": repeats,
         "base_failed": failed,
-        "kept": ~failed & (score >= least),
-        "score": [float(s) if n else None for s, n in zip(score, grams, strict=True)],
+        "n_grams": grams,
+        "score": score,
     }
 
 
-def rules(documents: DataFrame, labels: DataFrame, trusted_rows: int) -> tuple[np.ndarray, float]:
-    """Weights and threshold, with documents labelled good as the trusted ones."""
-    trusted = written(labelled_sample(labels, "quality", trusted_rows, F.col("quality") == 1))
-    weights = fit(documents, trusted)
-    return weights, least_score(documents, trusted, weights)
+def good_ids(labels: DataFrame) -> DataFrame:
+    """Ids of the trusted documents: those that a label calls good."""
+    return written(labels.where("doc_id is not null and quality = 1").select(F.col("doc_id").cast("long").alias("doc_id")).distinct())
 
 
-def quality_rules(documents: DataFrame, labels: DataFrame, trusted_rows: int = TRUSTED_ROWS) -> DataFrame:
+def quality_rules(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """Counts, score and verdict of every document."""
-    held = documents.sparkSession.sparkContext.broadcast(rules(documents, labels, trusted_rows))
+    trusted = good_ids(labels)
+    held = documents.sparkSession.sparkContext.broadcast(fit(documents, trusted))
 
     def make():
-        return lambda rows: {"doc_id": rows["doc_id"], **measures(rows["text"], *held.value)}
+        return lambda rows: {"doc_id": rows["doc_id"], "text_key": rows["text_key"], **measures(rows["text"], held.value)}
 
-    return map_slices(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), make, SCORED)
+    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.md5(F.col("text").cast("binary")).alias("text_key"))
+    found = written(map_slices(texts, make, SCORED))
+    least = least_score(found, trusted)
+    return found.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+        (~F.col("base_failed") & (F.col("score") >= F.lit(least))).alias("kept"),
+        F.when(F.col("n_grams") > 0, F.col("score")).alias("score"),
+    )
 
 
-def kept_documents(documents: DataFrame, labels: DataFrame, trusted_rows: int = TRUSTED_ROWS) -> DataFrame:
+def kept_documents(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the rules keep, with all their columns."""
-    held = documents.sparkSession.sparkContext.broadcast(rules(documents, labels, trusted_rows))
-    return filter_slices(documents, lambda: lambda texts: measures(texts, *held.value)["kept"])
+    trusted, context = good_ids(labels), documents.sparkSession.sparkContext
+    held = context.broadcast(fit(documents, trusted))
+    least = least_score(with_scores(documents, held), trusted)
+
+    def keep(texts):
+        found = measures(texts, held.value)
+        return ~found["base_failed"] & (found["score"] >= least)
+
+    return filter_slices(documents, lambda: keep)
 
 
 def op8_quality_rules(spark, folder: str) -> DataFrame:
