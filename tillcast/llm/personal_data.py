@@ -146,7 +146,7 @@ def shape_features(shape: bytes) -> list[int]:
     runs = [(c, len(list(g))) for c, g in groupby(shape.decode("latin-1"))]
     flat = "".join(c for c, _ in runs)
     numbers = [min(n, 21) for c, n in runs if c == "d"]
-    names = ["bias", f"flat {flat[:12]}", f"head {flat[:2]}", f"tail {flat[-2:]}", f"numbers {numbers[:6]}", f"digits {min(sum(numbers), 21)}", f"groups {min(len(numbers), 6)}"]
+    names = ["bias", f"flat {flat}", f"head {flat[:2]}", f"tail {flat[-2:]}", f"numbers {numbers}", f"digits {min(sum(numbers), 21)}", f"groups {min(len(numbers), 6)}"]
     names += [f"has {c}" for c in "@+(:.-" if c in flat]
     if not numbers and "@" not in flat:
         names.append("plain")
