@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
 from tillcast.operators import quality
+from tillcast.operators.stored_checks import StoredChecks
+from tillcast.sources.days import DayTable
 
 
 @dataclass(frozen=True)
@@ -104,6 +107,22 @@ def declared_checks(models: dict[str, DataFrame], name: str) -> dict[str, DataFr
     return checks
 
 
+def stored_checks(table: DayTable, name: str) -> StoredChecks:
+    """The checks that a model kept by day declares, with their results kept by day too."""
+    rules = DECLARED[name]
+    keys = {f"{name}: unique {column}": (column,) for column in rules.unique}
+    if rules.combination:
+        keys[f"{name}: unique ({', '.join(rules.combination)})"] = rules.combination
+    parents = {f"{name}: {column} in {parent}": column for column, parent, _ in rules.parents}
+    return StoredChecks(table, {f"{name}: not null": rules.not_null}, keys, parents)
+
+
+def stored_failures(stored: StoredChecks, name: str, models: dict[str, DataFrame], days: Iterable[int] | None = None) -> DataFrame:
+    """(check, n_rows) of the failed checks of a whole model, from what is kept; see StoredChecks.failures."""
+    parents = {f"{name}: {column} in {parent}": models[parent].select(key) for column, parent, key in DECLARED[name].parents}
+    return stored.failures(parents, days)
+
+
 def core_checks(models: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Cross-model checks of the core layer."""
     sales, items = models["core_fct_sales"], models["core_fct_sales_item"]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 from datetime import date, datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -93,13 +94,21 @@ class Keeper:
         return self.models[name]
 
 
-def verify(models: dict[str, DataFrame], layer: str, cross: dict[str, DataFrame]) -> None:
-    """Run the declared checks of a layer and its cross-model checks; raise if any fails."""
-    wanted: dict[str, DataFrame] = {}
+def verify(models: dict[str, DataFrame], layer: str, cross: dict[str, DataFrame], root: str, run_id: str) -> None:
+    """Run the declared checks of a layer and its cross-model checks; raise if any fails.
+
+    Results of models kept by day are stored by day, for refreshes of touched days to build on.
+    """
+    spark = next(iter(models.values())).sparkSession
+    wanted, stored = dict(cross), []
     for name in checks.DECLARED:
-        if name.startswith(layer):
-            wanted.update(checks.declared_checks(models, name))
-    quality.gate({**wanted, **cross})
+        if not name.startswith(layer):
+            continue
+        if name in touched.BY_DAY:
+            stored.append(touched.check_model(spark, root, name, run_id, models))
+        else:
+            wanted |= checks.declared_checks(models, name)
+    quality.require(reduce(DataFrame.unionByName, [quality.failures(wanted), *stored]))
 
 
 def refresh(inputs: dict[str, DataFrame], root: str, run_id: str, today: date) -> list[dict[str, str]]:
@@ -112,12 +121,12 @@ def refresh(inputs: dict[str, DataFrame], root: str, run_id: str, today: date) -
     specs = load_marts()
     spark = next(iter(inputs.values())).sparkSession
     models = build_core(inputs, root, run_id, today)
-    verify(models, "core_", checks.core_checks(models))
+    verify(models, "core_", checks.core_checks(models), root, run_id)
     models |= build_marts(models, root, run_id)
     unbuilt = tables.missing_tables(spark, "marts", list(specs))
     if unbuilt:
         raise RuntimeError(f"configured marts were not built: {unbuilt}")
-    verify(models, "mart_", checks.mart_checks(models))
+    verify(models, "mart_", checks.mart_checks(models), root, run_id)
     return [publish_days(models[name], spec, root, run_id) for name, spec in specs.items()]
 
 
@@ -136,10 +145,11 @@ def refresh_changes(spark: SparkSession, root: str, run_id: str, today: date) ->
         return []
     else:
         models, days = touched.rebuild_days(inputs, batches, root, run_id, today)
-        sales = touched.day_table(spark, root, "core_fct_sales").read(days)
-        touched.check_days(models, sales, spark.table("core.core_dim_city"), spark.table("core.core_dim_date"))
+        measured = days["core_fct_weather_hour"]
+        sales = touched.day_table(spark, root, "core_fct_sales").read(measured)
+        touched.check_days(models, days, sales, spark.table("core.core_dim_city"), spark.table("core.core_dim_date"), root, run_id)
         specs = load_marts()
-        published = [publish_days(models[name], specs[name], root, run_id, days) for name in touched.WEATHER_MODELS if name in specs and days]
+        published = [publish_days(models[name], specs[name], root, run_id, measured) for name in touched.WEATHER_MODELS if name in specs and measured]
     touched.note_state(spark, present, root, run_id)
     return published
 

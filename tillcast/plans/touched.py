@@ -4,7 +4,7 @@ The change set comes from the batches that no refresh has seen. A document repla
 of every version of the keys in those batches are touched: hours may come, change or go. Facts and marts of these days
 are computed from documents that can hold them, from the facts of these days, and from sales hours; their days are
 replaced, checked and published alone. Keys and days go together in every check made here (an hour of a city has one
-local day), so what holds in each day holds in all.
+local day); the stored checks of a model look keys up among all days none the less, without reading their rows.
 
 A refresh that finds other inputs changed (cities, sales) rebuilds everything.
 """
@@ -12,6 +12,7 @@ A refresh that finds other inputs changed (cities, sales) rebuilds everything.
 from __future__ import annotations
 
 from datetime import date, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -164,8 +165,8 @@ def touched(spark: SparkSession, batches: dict[str, list[str]], cities: DataFram
 
 def rebuild_days(
     inputs: dict[str, DataFrame], batches: dict[str, list[str]], root: str, run_id: str, today: date
-) -> tuple[dict[str, DataFrame], set[int]]:
-    """Replace the touched days of the weather models; returns their rows on these days, and the days with weather."""
+) -> tuple[dict[str, DataFrame], dict[str, set[int]]]:
+    """Replace the touched days of the weather models; returns their rows on these days, and the days of each."""
     spark = inputs["cities"].sparkSession
     cities, hours = spark.table("core.core_dim_city"), spark.table("core.core_agg_sales_hour")
     dates = tables.replace_table(core.dim_date(spark, today), root, "core", "core_dim_date", run_id)
@@ -184,13 +185,25 @@ def rebuild_days(
         changed = inputs["weather_forecast"].join(keys, log.key, "left_semi")
         held = table["core_fct_weather_forecast_hour"]
         held.replace(forecast_on(held.read(ahead), changed, ahead, cities, dates), run_id, ahead)
-    return {model: table[model].read(ahead if "forecast" in model else measured) for model in WEATHER_MODELS}, measured
+    own = {model: ahead if "forecast" in model else measured for model in WEATHER_MODELS}
+    return {model: table[model].read(own[model]) for model in WEATHER_MODELS}, own
 
 
-def check_days(models: dict[str, DataFrame], sales: DataFrame, cities: DataFrame, dates: DataFrame) -> None:
-    """All checks that rows of the touched days can fail; raise if any does."""
-    known = {**models, "core_dim_city": cities, "core_dim_date": dates}
-    wanted = {name: check for model in models for name, check in checks.declared_checks(known, model).items()}
-    wanted["weather values are valid"] = quality.weather_out_of_range(models["core_fct_weather_hour"], models["core_fct_weather_forecast_hour"])
-    wanted["marts match daily sales"] = quality.marts_vs_sales(sales, models["mart_sales_weather_hourly"], models["mart_sales_weather_daily"])
-    quality.gate(wanted)
+def check_model(spark: SparkSession, root: str, model: str, run_id: str, parents: dict[str, DataFrame], days: set[int] | None = None) -> DataFrame:
+    """(check, n_rows) of the failed checks of a whole model, of which only the touched days are read; notes their results."""
+    stored = checks.stored_checks(day_table(spark, root, model), model)
+    stored.replace(run_id, days)
+    return checks.stored_failures(stored, model, parents, days)
+
+
+def check_days(
+    models: dict[str, DataFrame], days: dict[str, set[int]], sales: DataFrame, cities: DataFrame, dates: DataFrame, root: str, run_id: str
+) -> None:
+    """All checks that rows of the touched days can fail, keys against all days; raise if any does."""
+    parents = {"core_dim_city": cities, "core_dim_date": dates}
+    wanted = {
+        "weather values are valid": quality.weather_out_of_range(models["core_fct_weather_hour"], models["core_fct_weather_forecast_hour"]),
+        "marts match daily sales": quality.marts_vs_sales(sales, models["mart_sales_weather_hourly"], models["mart_sales_weather_daily"]),
+    }
+    found = [check_model(cities.sparkSession, root, model, run_id, parents, days[model]) for model in models if days[model]]
+    quality.require(reduce(DataFrame.unionByName, [quality.failures(wanted), *found]))

@@ -314,6 +314,10 @@ _SEED_ROWS = ", ".join(
 
 _DAY_KEY = "city_key, date_key"
 
+_RECEIPTS_AND_LATE = """
+    select * from fct union all by name select * replace (20991231 as date_key,
+      case when payment_type <> 'card' then payment_type end as payment_type) from fct where hour = 12"""
+
 ORACLES = {
     # --- marts ---
     "daily_mart": "select * from daily_mart",
@@ -472,6 +476,19 @@ ORACLES = {
             where sale_key not in (select sale_key from receipts)
           union all select 'items match receipts', count(*) from both_sides
         ) where n_rows > 0""",
+    "stored_checks": f"""
+        select * from (
+          select 'core_fct_sales: not null' as "check", cast(sum((sale_key is null)::int + (source_sale_id is null)::int
+            + (city_key is null)::int + (sold_at is null)::int + (date_key is null)::int + (hour is null)::int
+            + (total_amount_rub is null)::int + (payment_type is null)::int + (is_synthetic is null)::int) as bigint) as n_rows
+          from ({_RECEIPTS_AND_LATE})
+          union all select 'core_fct_sales: unique sale_key', cast(sum(n) as bigint)
+            from (select count(*) as n from ({_RECEIPTS_AND_LATE}) where sale_key is not null group by sale_key having count(*) > 1)
+          union all select 'core_fct_sales: city_key in core_dim_city', count(*) from ({_RECEIPTS_AND_LATE})
+            where city_key is not null and city_key not in (select city_key from city)
+          union all select 'core_fct_sales: date_key in core_dim_date', count(*) from ({_RECEIPTS_AND_LATE})
+            where date_key is not null and date_key not in (select date_key from event_days)
+        ) where n_rows > 0""",
     "freshness": f"""
         select newest as max_loaded_at, age as age_seconds,
           case when age > 6 * 3600 then 'error' when age > 2 * 3600 then 'warn' else 'pass' end as status

@@ -16,7 +16,7 @@ from tillcast.functions import clock, keys, money, payload
 from tillcast.operators import bitmaps, loads, publish, quality, rollups
 from tillcast.operators.fanout import city_directory, fan_out_sales
 from tillcast.operators.upsert import upsert
-from tillcast.plans import core, marts, staging, touched
+from tillcast.plans import checks, core, marts, staging, touched
 from tillcast.session import scratch, shared_dir, written
 from tillcast.sources import cities as city_source
 from tillcast.sources import ndjson, readers, snapshot, tables
@@ -32,6 +32,8 @@ QUERIES: dict[str, Query] = {}
 # Parameters of queries that need a clock.
 NOW = datetime(2024, 1, 31, 3, 0)
 ANCHOR = date(2024, 2, 5)
+# A day after all that the test tables hold.
+LATE_DAY = 20991231
 
 
 def query(build: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]:
@@ -437,6 +439,24 @@ def dq_failures(i: Inputs) -> DataFrame:
     )
 
 
+@query
+def stored_checks(i: Inputs) -> DataFrame:
+    """Checks of the receipts kept by day. Those of noon come in once more on a day no calendar has, without payment
+    type where paid by card: only that day is read, and its keys are found among all days."""
+    root, run = scratch(i.spark, "checked"), run_id()
+    receipts = written(i.fct_sales, "receipts")
+    late = receipts.where("hour = 12").withColumns(
+        {"date_key": F.lit(LATE_DAY), "payment_type": F.when(F.col("payment_type") != "card", F.col("payment_type"))}
+    )
+    table = DayTable(i.spark, root, "checked", f"receipts_{run}")
+    stored = checks.stored_checks(table, "core_fct_sales")
+    table.replace(receipts, "1")
+    stored.replace("1")
+    table.replace(late, "2", [LATE_DAY])
+    stored.replace("2", [LATE_DAY])
+    return checks.stored_failures(stored, "core_fct_sales", {"core_dim_city": i.dim_city, "core_dim_date": i.event_dates}, [LATE_DAY])
+
+
 @query
 def freshness(i: Inputs) -> DataFrame:
     return quality.freshness(i.table("events"), "ts", NOW)
