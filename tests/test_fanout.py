@@ -2,6 +2,7 @@ from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tillcast.operators import fanout, quality
@@ -101,6 +102,20 @@ def test_audit_reports_every_failure(rows, directory):
         quality.require(audit)
 
 
+def test_audit_tells_odd_ids_apart_and_shuffles_them_packed(log, directory):
+    cities, profiles = directory
+    result = fanout.fan_out_sales(log, cities, profiles)
+    digest = F.sha2(F.lit("x"), 256)
+    odd = [F.upper(digest), digest, F.concat(digest, F.lit("\n")), F.unhex(digest).cast("string"), F.lit(""), F.lit("\0"), F.lit("a")]
+    base = result.limit(len(odd)).withColumn("_at", F.row_number().over(Window.orderBy("synthetic_sale_id")))
+    ids = F.element_at(F.array(*odd), F.col("_at"))
+    apart = base.withColumns({"synthetic_sale_id": ids, "synthetic_sale_item_id": ids})
+    found = {r.check for r in quality.audit_fan_out(apart, log, cities).collect()}
+    assert "synthetic_sale_id repeated" not in found and "synthetic_sale_item_id repeated" not in found
+    plan = quality.audit_fan_out(result, log, cities)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(synthetic_sale" not in plan and "unhex" in plan
+
+
 def test_audit_counts_lost_rows(log, directory):
     cities, profiles = directory
     result = fanout.fan_out_sales(log, cities, profiles).filter("city_slug <> 'omsk'")
