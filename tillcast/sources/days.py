@@ -12,6 +12,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillcast.session import CODEC
 from tillcast.sources import tables
 
 RUN, PART = "_run", "_day"
@@ -32,20 +33,23 @@ class DayTable:
         self.spark, self.root, self.layer, self.name, self.day = spark, root, layer, name, day
         self.rows, self.shown = f"{name}__days", f"{name}__shown"
 
-    def stage(self, df: DataFrame, run_id: str, sort: Iterable[str] = ()) -> DataFrame:
+    def stage(self, df: DataFrame, run_id: str, sort: Iterable[str] = (), lie_by_day: bool = False) -> DataFrame:
         """Write rows as a run's version of their days, which nobody sees yet; returns them as written.
 
         The same run again replaces what it wrote. Rows lie by day, in even files also where a day holds most of them;
-        with ``sort``, files hold narrow ranges of it.
+        with ``sort``, files hold narrow ranges of it. Rows that ``lie_by_day`` already, few days a task, are written
+        where they are and not shuffled again; were it not so, there would be more files.
         """
         spark, rows = self.spark, f"`{self.layer}`.`{self.rows}`"
         tables.ensure_layer(spark, self.layer, self.root)
         parted = df.withColumn(PART, part_of(self.day))
         if self.rows not in tables.table_names(spark, self.layer):
             empty = spark.createDataFrame([], df.schema).withColumns({RUN: F.lit(""), PART: F.lit(NO_DAY)})
-            empty.write.partitionBy(RUN, PART).format("parquet").saveAsTable(f"{self.layer}.{self.rows}")
+            empty.write.partitionBy(RUN, PART).option("compression", CODEC).format("parquet").saveAsTable(f"{self.layer}.{self.rows}")
         if sort:
             dealt = parted.repartitionByRange(PART, *sort).sortWithinPartitions(PART, *sort)
+        elif lie_by_day:
+            dealt = parted
         else:
             dealt = parted.hint("rebalance", F.col(PART))
         view = f"{self.name}__staged"
@@ -104,9 +108,9 @@ class DayTable:
             listed = ", ".join(f"PARTITION ({RUN} = '{run}', {PART} = {day})" for run, day in partitions[at : at + DROPPED])
             self.spark.sql(f"ALTER TABLE `{self.layer}`.`{self.rows}` DROP IF EXISTS {listed}")
 
-    def replace(self, df: DataFrame, run_id: str, days: Iterable[int] | None = None) -> DataFrame:
+    def replace(self, df: DataFrame, run_id: str, days: Iterable[int] | None = None, lie_by_day: bool = False) -> DataFrame:
         """Write and show; with ``days``, rows of other days are an error and keep what they show."""
-        self.stage(df, run_id)
+        self.stage(df, run_id, lie_by_day=lie_by_day)
         return self.show(run_id, days)
 
     def read(self, days: Iterable[int] | None = None) -> DataFrame:
