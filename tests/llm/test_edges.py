@@ -1,5 +1,6 @@
 """Every query on edge rows: whole, defined results; empty tables; rows that plain versions give too."""
 
+import gc
 import hashlib
 import math
 import re
@@ -14,6 +15,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import corpus_pipeline  # noqa: E402
 import tables as T  # noqa: E402
+from tillcast.llm.common import encode  # noqa: E402
 from tillcast.llm.queries import QUERIES  # noqa: E402
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -270,3 +272,13 @@ def test_pipeline(spark, edges, rows):
 
 def test_pipeline_on_no_documents(spark, empty):
     assert corpus_pipeline.run(spark, empty).collect() == []
+
+
+def test_the_words_of_a_slice_are_freed_without_garbage_collection():
+    gc.collect()
+    gc.disable()
+    try:
+        encode(["a b a", None, "c"])
+        assert gc.collect() == 0
+    finally:
+        gc.enable()

@@ -123,6 +123,8 @@ def encode(texts: list, lower: bool = False) -> tuple[np.ndarray, np.ndarray, li
             words = (raw.lower() if lower else raw).split()
             ids.extend(map(seen.__getitem__, words))
             counts[k] = len(words)
+    # The dict holds a method of its own: a cycle that would keep all words until Python collects garbage.
+    seen.default_factory = None
     return np.array(ids, np.int64), counts, list(seen)
 
 
