@@ -3,8 +3,9 @@ from decimal import Decimal
 
 import pytest
 
-from tillcast.operators import rollups
+from tillcast.operators import parts, rollups
 from tillcast.plans import marts
+from tillcast.workload import registry
 
 CITY = "city_key string, city_slug string, city_name string"
 DATE = "date_key int, date date, weekday string, is_weekend boolean"
@@ -107,6 +108,36 @@ def test_product_mart(items, sales, dims, products):
     assert (lost.date_key, lost.product_revenue_rub, lost.revenue_share_pct) == (None, Decimal("3.00"), None)
 
 
+def test_many_lines_are_joined_in_more_parts(spark, items, sales, monkeypatch):
+    wanted = int(spark.conf.get("spark.sql.shuffle.partitions")) + 3
+    monkeypatch.setattr(parts, "ROWS_A_PART", 10)
+    few, many = (marts.product_days(marts.items_with_sales(items, sales, n)) for n in (10, 10 * wanted))
+    assert sorted(map(str, few.collect())) == sorted(map(str, many.collect()))
+    plan = many._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(sale_key" in plan and f", {wanted}), REPARTITION_BY_NUM" in plan
+    assert "REPARTITION_BY_NUM" not in few._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("query", ["receipts_distinct", "rollup_receipts", "product_mart", "share_of_day", "mart_contract"])
+def test_queries_of_receipt_lines_know_their_number(spark, rows, tmp_path, monkeypatch, query):
+    tables = {
+        "nation": rows("n_nationkey int, n_name string", [0, "PERU"]),
+        "part": rows("p_partkey bigint, p_name string", [0, "tea"]),
+        "customer": rows("c_custkey bigint, c_nationkey int", [1, 0]),
+        "orders": rows("o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz, o_totalprice double", [1, 1, "2024-03-01 00:00:00", 5.0]),
+        "lineitem": rows(
+            "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_quantity double, l_extendedprice double",
+            *[[1, k, 0, 1.0, 1.0] for k in range(30)],
+        ),
+    }
+    for name, df in tables.items():
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    monkeypatch.setattr(parts, "ROWS_A_PART", 3)
+    found = registry.QUERIES[query](spark, str(tmp_path))
+    assert ", 10), REPARTITION_BY_NUM" in found._jdf.queryExecution().executedPlan().toString()
+    assert found.count() == 1
+
+
 def test_zero_revenue_day_has_no_share(rows, sales):
     items = rows(ITEMS, ["a", "x", 0, "0.00"])
     row = marts.with_day_share(marts.product_days(marts.items_with_sales(items, sales))).first()

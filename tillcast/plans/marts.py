@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tillcast.functions import money
 from tillcast.operators.intervals import interval_join
+from tillcast.operators.parts import spread
 
 DAY = ["city_key", "date_key"]
 HOUR = ["city_key", "date_key", "hour"]
@@ -20,12 +21,15 @@ def _sales_dates(dates: DataFrame, *more: str) -> DataFrame:
     return dates.select("date_key", F.col("date").alias("sales_date"), *more)
 
 
-def items_with_sales(items: DataFrame, sales: DataFrame) -> DataFrame:
+def items_with_sales(items: DataFrame, sales: DataFrame, n_items: int = 0) -> DataFrame:
     """Receipt lines with the city and day of their receipt; lines without a
-    receipt keep nulls."""
-    return items.select("sale_key", "product_key", "quantity", "line_amount_rub").join(
-        sales.select("sale_key", *DAY), "sale_key", "left"
-    )
+    receipt keep nulls.
+
+    With the number of lines known, many are joined in more parts than a shuffle
+    has, so that what a task sorts and counts doesn't grow with them.
+    """
+    lines = items.select("sale_key", "product_key", "quantity", "line_amount_rub")
+    return spread(lines, n_items, "sale_key").join(sales.select("sale_key", *DAY), "sale_key", "left")
 
 
 def product_days(sold: DataFrame) -> DataFrame:
@@ -50,10 +54,10 @@ def with_day_share(product_day: DataFrame) -> DataFrame:
 
 
 def mart_product_sales_daily(
-    items: DataFrame, sales: DataFrame, cities: DataFrame, products: DataFrame, dates: DataFrame
+    items: DataFrame, sales: DataFrame, cities: DataFrame, products: DataFrame, dates: DataFrame, n_items: int = 0
 ) -> DataFrame:
     """Product sales per city and local day."""
-    shared = with_day_share(product_days(items_with_sales(items, sales)))
+    shared = with_day_share(product_days(items_with_sales(items, sales, n_items)))
     unit_price = money.ratio_2dp(F.col("product_revenue_rub"), F.col("units_sold"))
     named = (
         shared.join(_city_names(cities), "city_key", "left")

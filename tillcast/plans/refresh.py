@@ -73,7 +73,7 @@ def build_marts(models: dict[str, DataFrame], root: str, run_id: str) -> dict[st
     keep = Keeper("marts", root, run_id)
     cities, dates, products = (models[f"core_dim_{name}"] for name in ("city", "date", "product"))
     sales, items, weather = (models[f"core_fct_{name}"] for name in ("sales", "sales_item", "weather_hour"))
-    keep("mart_product_sales_daily", marts.mart_product_sales_daily(items, sales, cities, products, dates))
+    keep("mart_product_sales_daily", marts.mart_product_sales_daily(items, sales, cities, products, dates, items.count()))
     keep("mart_sales_weather_daily", marts.mart_sales_weather_daily(sales, weather, cities, dates))
     keep("mart_sales_weather_hourly", marts.hourly_from_hours(models["core_agg_sales_hour"], weather, cities, dates))
     return keep.models
