@@ -71,6 +71,14 @@ def test_no_cross_join_and_no_shuffle_of_the_products(log, directory):
     assert "Cartesian" not in plan and "NestedLoop" not in plan
 
 
+def test_ids_of_a_sale_are_hashed_before_it_is_multiplied(log, directory):
+    plan = fanout.fan_out_sales(log, *directory)._jdf.queryExecution().executedPlan().toString().split("\n")
+    join = next(k for k, line in enumerate(plan) if "_salt" in line and "Join" in line)
+    end = next(k for k, line in enumerate(plan) if "Coalesce" in line)
+    hashed = next(k for k, line in enumerate(plan) if "AS source_sale_id" in line)
+    assert join < end < hashed  # a node's input stands below it
+
+
 def test_clean_fan_out_passes_the_audit(log, directory):
     cities, profiles = directory
     result = fanout.fan_out_sales(log, cities, profiles)

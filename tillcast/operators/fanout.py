@@ -39,6 +39,15 @@ def dealt_out(sales: DataFrame, by_day: bool = False) -> DataFrame:
     return drawn.repartitionByRange(tasks(sales), "date", "_drawn").drop("_drawn")
 
 
+def computed_once(df: DataFrame) -> DataFrame:
+    """``df`` with its columns computed before its rows are multiplied.
+
+    Spark fuses a projection with the joins that follow and puts its expressions off until they are read, which is once
+    for every match of a row. A coalesce to as many parts as there are moves no row and ends the fused code.
+    """
+    return df.coalesce(tasks(df))
+
+
 def per_city(sales: DataFrame, directory: DataFrame) -> DataFrame:
     """Every sale once per directory row.
 
@@ -75,7 +84,7 @@ def fan_out_sales(sales: DataFrame, cities: DataFrame, profiles: DataFrame, by_d
             "_wall": clock.wall_clock(F.col("date"), F.col("time")),
         }
     )
-    expanded = per_city(base, city_directory(cities, profiles))
+    expanded = per_city(computed_once(base), city_directory(cities, profiles))
     receipts = expanded.withColumns(
         {
             "synthetic_sale_id": keys.sha256_id(F.col("source_sale_id"), F.col("city_slug")),
