@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillcast.operators import fanout
+from tillcast.sources import tables
 from tillcast.sources.days import DayTable
 from tillcast.workload import registry
 
@@ -51,3 +52,22 @@ def test_rows_that_lie_by_day_are_not_shuffled_again(spark, rows, shared, monkey
     assert sorted(map(str, shown.collect())) == sorted(map(str, df.collect())) and "ebalance" not in statements[0]
     table.replace(df, "2")
     assert "ebalance" in statements[1]
+
+
+@pytest.mark.parametrize("query", ["sales_fanout", "staged_synthetic_sales"])
+def test_a_fan_out_is_written_in_the_codec_that_halves_its_ids(spark, folder, shared, query):
+    fan_out = registry.QUERIES[query](spark, folder)
+    fan_out.write.parquet(f"{shared}/by-caller")
+    by_caller = spark.read.parquet(f"{shared}/by-caller")
+    assert by_caller.inputFiles() and all(f.endswith(".zstd.parquet") for f in by_caller.inputFiles())
+
+    # A version of a table is written so in any session.
+    key = "spark.sql.parquet.compression.codec"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "snappy")
+    try:
+        version = spark.table(tables.write_version(fan_out, shared, f"layer_{query}", "t", "001"))
+    finally:
+        spark.conf.set(key, before)
+    assert version.inputFiles() and all(f.endswith(".zstd.parquet") for f in version.inputFiles())
+    assert sorted(map(str, version.collect())) == sorted(map(str, by_caller.collect())) and version.count() == 16
