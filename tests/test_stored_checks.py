@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tillcast.operators import stored_checks
 from tillcast.operators.stored_checks import StoredChecks
 from tillcast.sources.days import DayTable
 
@@ -115,3 +116,42 @@ def test_hot_keys_empty_tables_and_long_texts(rows, table, stored, parents):
     many = [[20240101 + n % 3, "hot" if n % 3 else "k" * 70_000, n, None, 9] for n in range(60)]
     load(table, stored, rows(ROW, *many), "2", [20240101, 20240102, 20240103])
     assert got(stored.failures(parents, [20240101, 20240102, 20240103])) == {"nulls": 60, "one": 60, "parent": 60} == plain(table)
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_the_state_of_keys_is_not_shuffled(spark, rows, table):
+    keys = StoredChecks(table, {}, {"one": ("k",), "two": ("a", "b")}, {})
+    of_keys = keys.of_rows(rows(ROW, *FIRST, FIRST[0]))
+    assert "Exchange" not in plan(of_keys) and of_keys.count() == 10
+    table.replace(rows(ROW, *FIRST, FIRST[0]), "1")
+    keys.replace("1")
+    assert got(keys.failures({})) == {"one": 2, "two": 2} == plain(table, (1, 2, None))
+
+
+@pytest.mark.parametrize("bits", [1 << 28, 1 << 12, 1])
+def test_hashes_are_told_where_they_lie(spark, monkeypatch, bits):
+    monkeypatch.setattr(stored_checks, "BITS", bits)
+    hashed = spark.range(2000).select("id", F.xxhash64("id").alias("hash"))
+    found = stored_checks.may_be_in(hashed, hashed.where("id % 100 = 7").select("hash"))
+    ids = [r.id for r in found.collect()]
+    assert found.columns == ["id", "hash"] and len(ids) == len(set(ids)) and set(range(7, 2000, 100)) <= set(ids)
+    assert len(ids) == (20 if bits == 1 << 28 else 2000 if bits == 1 else len(ids)) and (bits != 1 << 12 or len(ids) < 100)
+    assert stored_checks.may_be_in(hashed, hashed.limit(0)).count() == 0
+
+
+def test_history_is_filtered_before_it_is_shuffled(spark, rows, table, stored, monkeypatch):
+    load(table, stored, rows(ROW, *FIRST), "1")
+    load(table, stored, rows(ROW, [20240103, "x", 9, "p", 1]), "2", [20240103])
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        lines = plan(stored.candidates([20240103]))
+        assert [r.check for r in stored.candidates([20240103]).collect()] == ["one"]
+    finally:
+        spark.conf.set(key, before)
+    # From the history's scan upwards, its filter by bits comes before any exchange.
+    assert lines.index("SortMergeJoin") < lines.index("BroadcastHashJoin [_bucket")
