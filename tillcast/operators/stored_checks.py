@@ -36,14 +36,14 @@ def _entry(kind: str, check: str, keep: Column, hashed: Column | None = None, va
     return F.when(keep, found)
 
 
-def may_be_in(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+def may_be_in(rows: DataFrame, wanted: DataFrame, bits: int | None = None) -> DataFrame:
     """The rows whose hash may be one of ``wanted``, told where they lie: all that are, and of the others those whose bit one has set.
 
-    BITS bits in pieces of 4 KB are broadcast, a bound that doesn't grow with the hashes; the more there are, the more rows pass.
+    So many bits (BITS) in pieces of 4 KB are broadcast, a bound that doesn't grow with the hashes; the more there are, the more rows pass.
     """
-    place = F.pmod(HASH, F.lit(BITS)) + 1
-    bits = wanted.select(place.alias("_place")).groupBy(F.bitmap_bucket_number("_place").alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_place")).alias("_bits"))
-    found = rows.withColumn("_place", place).withColumn("_bucket", F.bitmap_bucket_number("_place")).join(F.broadcast(bits), "_bucket")
+    place = F.pmod(HASH, F.lit(bits or BITS)) + 1
+    pieces = wanted.select(place.alias("_place")).groupBy(F.bitmap_bucket_number("_place").alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_place")).alias("_bits"))
+    found = rows.withColumn("_place", place).withColumn("_bucket", F.bitmap_bucket_number("_place")).join(F.broadcast(pieces), "_bucket")
     at = F.bitmap_bit_position("_place")
     byte = F.conv(F.hex(F.substr("_bits", F.shiftright(at, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     bit = F.call_function("shiftright", byte, at.bitwiseAND(F.lit(7)).cast("int")).bitwiseAND(F.lit(1))
