@@ -126,6 +126,42 @@ def test_near_copies_that_lose_lines_are_one_document(spark, tmp_path):
     assert set(range(60)) - {38} <= set(kept) | {38}
 
 
+def near_copies_in_unlike_frames() -> list[dict]:
+    """Documents 400 to 403 differ by a word in a long line each; other lines, which earlier documents hold, are most of a text."""
+    frames = [[T.prose(2000 + 10 * k + j, 30) for j in range(6)] for k in range(4)]
+    article = T.prose(3000, 90).split()
+    texts = {300 + k: "\n".join([*frame, T.prose(3100 + k, 40)]) for k, frame in enumerate(frames)}
+    texts |= {400 + k: "\n".join([*frame, " ".join([*article[:-1], f"last{k}"])]) for k, frame in enumerate(frames)}
+    return [{"doc_id": k, "text": t, "lang": "en", "source": "s", "n_chars": len(t)} for k, t in texts.items()]
+
+
+@pytest.mark.parametrize("others", [[], [500, 500]])
+def test_texts_that_are_alike_once_lines_are_cut_are_one_document(spark, tmp_path, others):
+    rows = [r for r in T.documents() if r["doc_id"] is not None and r["doc_id"] < 38] + near_copies_in_unlike_frames()
+    rows += [{"doc_id": k, "text": T.prose(4000, 50), "lang": "en", "source": "s", "n_chars": 9} for k in others]
+    folder = T.folder(tmp_path, rows)
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    lines = corpus_pipeline.written(corpus_pipeline.line_stage(spark, docs, folder))
+    kept = corpus_pipeline.near_duplicate_stage(spark, lines, folder)
+    assert kept.columns == lines.columns
+    came, stay = (sorted((r["doc_id"], r["text"]) for r in df.collect()) for df in (lines, kept))
+    assert {400, 401, 402, 403} <= {k for k, _ in came}
+    assert [k for k, _ in stay] == [*range(38), 300, 301, 302, 303, 400, *others[:1]] and set(stay) <= set(came)
+
+
+def test_groups_by_either_text_are_one(spark, tmp_path):
+    """Of 400 to 403 the last is also a near copy, by its uncut text, of 350: all are one group, of which 350 stays."""
+    rows = near_copies_in_unlike_frames()
+    words = rows[-1]["text"].split(" ")
+    near = " ".join([*words[:-1], "other"])
+    rows.append({"doc_id": 350, "text": near, "lang": "en", "source": "s", "n_chars": len(near)})
+    folder = T.folder(tmp_path, rows)
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    lines = corpus_pipeline.written(corpus_pipeline.line_stage(spark, docs, folder))
+    kept = corpus_pipeline.near_duplicate_stage(spark, lines, folder)
+    assert sorted(r["doc_id"] for r in kept.collect()) == [300, 301, 302, 303, 350]
+
+
 def test_blocks_of_test_items_are_bounded(spark):
     from tillcast.llm import decontaminate
 

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillcast.llm.common import encode, map_slices, mixed, owners, table, windows, written
+from tillcast.operators.stored_checks import may_be_in
 
 LOG = logging.getLogger(__name__)
 
@@ -45,6 +46,8 @@ AGREE = 0.65
 SMALL, MET_BLOCK = 16, 512
 #: A block of a connected part holds about so many texts, and so many shingles.
 BLOCK_TEXTS, BLOCK_SHINGLES = 128, 1 << 18
+#: Bits that tell which texts or signatures may be wanted: 4 MB at most.
+KEY_BITS = 1 << 25
 #: Shingles hashed at once, and rows of small meetings that a task pairs at once.
 CHUNK, HELD = 1 << 16, 1 << 16
 
@@ -334,14 +337,18 @@ def in_block_pairs(rows: DataFrame, node: str, *key: str) -> DataFrame:
     return paired.repartition(*key, "i", "j").sortWithinPartitions(*key, "i", "j", node)
 
 
-def candidates(representatives: DataFrame) -> DataFrame:
+def candidates(representatives: DataFrame, bits: int | None = None) -> DataFrame:
     """Edges (a, b) that connect all representatives which may be alike."""
     trees, size = forest(representatives), LABEL
     while True:
         met = meetings(trees, size)
         pairs = written(met.groupBy("a", "b").agg(F.bit_or("half").alias("halves")))
         nodes = pairs.select(F.col("a").alias("rep")).union(pairs.select(F.col("b").alias("rep"))).distinct()
-        signatures = written(representatives.select("rep", "signature").join(nodes, "rep"))
+        signatures = representatives.select("rep", "signature")
+        if bits is not None:
+            hashed = F.xxhash64("rep").alias("hash")
+            signatures = may_be_in(signatures.select("*", hashed), nodes.select(hashed), bits).drop("hash")
+        signatures = written(signatures.join(nodes, "rep"))
         compared = written(agreeing(pairs, signatures))
         near = compared.where(F.col("agree").between(*NEAR)).agg(
             F.count("*"), F.count_if(F.col("halves") != 2), F.count_if(F.col("halves") != 1), F.count_if(F.col("halves") == 3)
@@ -437,9 +444,11 @@ def verified(members: DataFrame) -> DataFrame:
     return members.mapInArrow(lambda batches: streamed_groups(batches, ["part", "i", "j"], solve, schema), "a long, links long, b long")
 
 
-def with_shingles(documents: DataFrame, members: DataFrame) -> DataFrame:
+def with_shingles(documents: DataFrame, members: DataFrame, bits: int | None = None) -> DataFrame:
     """``members`` (node, doc_id, text_key, …) with their shingle sets, from the texts they stand for."""
     texts = documents.select(F.col("doc_id").cast("long").alias("own_id"), F.xxhash64("text").alias("_tillcast_key"), "text")
+    if bits is not None:
+        texts = may_be_in(texts.withColumn("hash", F.col("_tillcast_key")), members.select(F.col("text_key").alias("hash")), bits).drop("hash")
     found = texts.join(members.hint("shuffle_hash"), F.col("own_id").eqNullSafe(F.col("doc_id")) & (F.col("_tillcast_key") == F.col("text_key")))
 
     def step(rows):
@@ -452,20 +461,21 @@ def with_shingles(documents: DataFrame, members: DataFrame) -> DataFrame:
     return map_slices(rows, lambda: step, "node long, part long, copies long, blocks long, keys binary").dropDuplicates(["node"])
 
 
-def links(documents: DataFrame, representatives: DataFrame) -> DataFrame:
+def links(documents: DataFrame, representatives: DataFrame, bits: int | None = None) -> DataFrame:
     """(a, links, b) as ``verified`` gives them, over all parts that candidates connect."""
-    parts = components(candidates(representatives)).select(F.col("node").alias("rep"), F.col("label").alias("part"))
+    parts = components(candidates(representatives, bits)).select(F.col("node").alias("rep"), F.col("label").alias("part"))
     members = written(representatives.join(parts, "rep").select(F.col("rep").alias("node"), "doc_id", "text_key", "copies", "n", "part"))
     blocks = F.greatest(F.ceil(F.count("*") / BLOCK_TEXTS), F.ceil(F.sum("n") / BLOCK_SHINGLES))
     members = members.join(members.groupBy("part").agg(blocks.cast("long").alias("blocks")), "part")
-    sets = with_shingles(documents, members.select("node", "doc_id", "text_key", "copies", "part", "blocks"))
+    sets = with_shingles(documents, members.select("node", "doc_id", "text_key", "copies", "part", "blocks"), bits)
     return written(verified(in_block_pairs(sets, "node", "part").select("part", "i", "j", "block", "node", "copies", "keys")))
 
 
-def classes(documents: DataFrame, among: DataFrame | None = None) -> DataFrame:
+def classes(documents: DataFrame, among: DataFrame | None = None, bits: int | None = None) -> DataFrame:
     """(doc_id, text_key, label, class_id, n_links) for each row; a class has a label of its own.
 
-    With ``among``, rows of other ids are left out, before anything is compared and without moving a text.
+    With ``among``, rows of other ids are left out, before anything is compared and without moving a text. With ``bits``,
+    so many tell which texts and signatures may be candidates', and others aren't moved either.
     """
     rows = signed(documents)
     if among is not None:
@@ -473,7 +483,7 @@ def classes(documents: DataFrame, among: DataFrame | None = None) -> DataFrame:
     groups = rows.where("n > 0").groupBy("k1", "k2").agg(F.min("row").alias("rep"), F.count("*").alias("copies"), F.min("doc_id").alias("least"))
     groups = written(groups)
     chosen = rows.select(F.col("row").alias("rep"), "doc_id", "text_key", "n", "signature").join(groups.select("rep", "copies"), "rep")
-    found = links(documents, written(chosen))
+    found = links(documents, written(chosen), bits)
     counts = found.where("links > 0").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
     labels = components(found.where("b is not null").select("a", "b")).withColumnRenamed("node", "rep")
     known = groups.join(labels, "rep", "left").join(counts, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
@@ -490,14 +500,24 @@ def classes(documents: DataFrame, among: DataFrame | None = None) -> DataFrame:
     )
 
 
-def one_of_each(documents: DataFrame) -> DataFrame:
-    """The documents without all but the least id of each class, with all their columns; of rows alike one stays."""
-    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("text_key").alias("key"))
-    keep = classes(documents).groupBy("label").agg(F.min(order).alias("first")).select(F.col("first.id").alias("_tillcast_keep_id"), F.col("first.key").alias("_tillcast_keep_key"))
-    kept = documents.withColumn("_tillcast_key", F.xxhash64("text")).join(
-        keep, F.col("doc_id").cast("long").eqNullSafe(F.col("_tillcast_keep_id")) & (F.col("_tillcast_key") == F.col("_tillcast_keep_key")), "left_semi"
-    )
-    return kept.dropDuplicates(["doc_id", "_tillcast_key"]).drop("_tillcast_key")
+def by_either(one: DataFrame, other: DataFrame) -> DataFrame:
+    """(doc_id, label) of two classes' rows, with labels of their own."""
+    return one.select("doc_id", "label").unionByName(other.select("doc_id", (-1 - F.col("label")).alias("label")))
+
+
+def later_ones(found: DataFrame) -> DataFrame:
+    """Ids of documents that aren't the first of those they are linked with, from rows (doc_id, order, label).
+
+    A document may have several rows, one for each of its texts: it links their classes.
+    """
+    found = written(found)
+    shared = found.groupBy("label").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a != b").select("label")
+    linked = written(found.join(shared, "label", "left_semi"))
+    edges = linked.groupBy("doc_id").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a != b").select("a", "b")
+    groups = components(edges).select(F.col("node").alias("label"), F.col("label").alias("group"))
+    grouped = linked.join(groups, "label", "left").select("doc_id", "order", F.coalesce("group", "label").alias("group")).distinct()
+    first = grouped.groupBy("group").agg(F.min("order").alias("first"))
+    return grouped.join(first, "group").where(F.col("order") != F.col("first")).select("doc_id")
 
 
 def held_once(documents: DataFrame) -> DataFrame:
@@ -506,21 +526,27 @@ def held_once(documents: DataFrame) -> DataFrame:
 
 
 def one_of_each_uncut(documents: DataFrame, whole: DataFrame) -> DataFrame:
-    """As ``one_of_each``, but judged by the texts that ``whole`` holds, of which ``documents`` may keep a part only.
+    """The documents without all but the least id of each group of near duplicates, with all their columns; of rows alike one stays.
 
-    Rows whose id isn't held once on both sides are judged by their own texts, together with the others.
+    Documents are compared twice, by the texts that ``whole`` holds, of which their own may be a part only, and by their own:
+    two are alike if either are. Rows whose id isn't held once on both sides have their own text in both.
     """
     once = written(held_once(documents).join(held_once(whole), "doc_id", "left_semi"))
-    others = documents.join(once, "doc_id", "left_anti")
-    if others.select("doc_id").isEmpty():
-        found = classes(whole.select("doc_id", "text"), once).select("doc_id", "label")
-        first = found.groupBy("label").agg(F.min("doc_id").alias("_tillcast_keep_id"))
-        return documents.join(first.select("_tillcast_keep_id"), F.col("doc_id").cast("long") == F.col("_tillcast_keep_id"), "left_semi")
+    if documents.join(once, "doc_id", "left_anti").select("doc_id").isEmpty():
+        found = by_either(classes(whole.select("doc_id", "text"), once, KEY_BITS), classes(documents.select("doc_id", "text"), bits=KEY_BITS))
+        later = later_ones(found.withColumn("order", F.col("doc_id"))).withColumnRenamed("doc_id", "_tillcast_id")
+        return documents.join(later, F.col("doc_id").cast("long") == F.col("_tillcast_id"), "left_anti")
     text = documents.schema["text"].dataType
     own = whole.join(once, "doc_id", "left_semi").select("doc_id", F.col("text").cast(text).alias("_tillcast_whole"))
-    judged = written(documents.withColumnRenamed("text", "_tillcast_text").join(own, "doc_id", "left").withColumn("text", F.coalesce("_tillcast_whole", "_tillcast_text")))
-    kept = one_of_each(judged).withColumn("text", F.col("_tillcast_text"))
-    return kept.select(*documents.columns)
+    uncut = F.coalesce("_tillcast_whole", "text")
+    judged = documents.join(own, "doc_id", "left").withColumns({"_tillcast_whole": uncut, "_tillcast_row": F.monotonically_increasing_id()})
+    # Repeated rows without words are like no other.
+    judged = written(judged.withColumn("_tillcast_key", F.xxhash64("_tillcast_whole")).dropDuplicates(["doc_id", "_tillcast_key"]))
+    row = F.col("_tillcast_row").alias("doc_id")
+    found = by_either(*(classes(judged.select(row, F.col(c).alias("text")), bits=KEY_BITS) for c in ("_tillcast_whole", "text")))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("_tillcast_key").alias("key"))
+    later = later_ones(found.join(judged.select(row, order.alias("order")), "doc_id")).withColumnRenamed("doc_id", "_tillcast_row")
+    return judged.join(later, "_tillcast_row", "left_anti").select(*documents.columns)
 
 
 def op10_jaccard_join(spark, folder: str) -> DataFrame:
