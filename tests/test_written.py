@@ -71,3 +71,17 @@ def test_a_fan_out_is_written_in_the_codec_that_halves_its_ids(spark, folder, sh
         spark.conf.set(key, before)
     assert version.inputFiles() and all(f.endswith(".zstd.parquet") for f in version.inputFiles())
     assert sorted(map(str, version.collect())) == sorted(map(str, by_caller.collect())) and version.count() == 16
+
+
+def test_parts_of_a_long_log_grow_in_number(spark, rows, monkeypatch):
+    monkeypatch.setattr(fanout, "SALES_A_PART", 50)
+    log = rows("date date, time string, coffee_name string, money decimal(10,2), cash_type string", *[["2024-03-01", f"10:{k // 60:02d}:{k % 60:02d}.000", "tea", k, "card"] for k in range(420)])
+    cities = rows("city_slug string", ["a"], ["b"], ["c"], ["d"])
+    zones = rows("city_slug string, timezone string, price_multiplier decimal(5,2)", ["a", "Asia/Omsk", 2], ["b", "Europe/Moscow", 1], ["c", "Asia/Omsk", 1], ["d", "Europe/Moscow", 2])
+    few, many = fanout.fan_out_sales(log, cities, zones), fanout.fan_out_sales(log, cities, zones, n_sales=420)
+    assert sorted(map(str, few.collect())) == sorted(map(str, many.collect()))
+    dealt = fanout.dealt_out(log, parts=fanout.parts_of(log, 420))
+    sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 9 and max(sizes) < 75 and fanout.parts_of(log, None) == fanout.parts_of(log, 30) == fanout.tasks(log)
+    # Cities of a zone stand together, so the instants of a sale come in runs.
+    assert "Sort [timezone" in fanout.per_city(log, zones)._jdf.queryExecution().optimizedPlan().toString()
